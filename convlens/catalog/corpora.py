@@ -97,7 +97,7 @@ attack AS (SELECT 'a' || conv_id AS conversation_id, true AS harm, CAST(sum(leng
                   CAST(to_json(list({{'role': role, 'content': content}} ORDER BY turn, side)) AS VARCHAR) AS conversation FROM am GROUP BY conv_id),
 benign AS (SELECT CAST(n.conv_id AS VARCHAR) AS conversation_id, false AS harm, CAST(sum(length(n.content)) AS BIGINT) AS n_chars,
                   CAST(to_json(list({{'role': n.role, 'content': n.content}} ORDER BY n.turn)) AS VARCHAR) AS conversation
-           FROM named n JOIN chats ON n.conv_id = conversation_id WHERE language = 'English' AND turn >= 2 AND NOT any_flagged GROUP BY n.conv_id),
+           FROM named n JOIN chats ON n.conv_id = conversation_id WHERE language = 'English' AND chats.turn >= 2 AND NOT any_flagged GROUP BY n.conv_id),
 ends AS (SELECT CAST(min(n_chars) AS DOUBLE) AS lo, CAST(max(n_chars) AS DOUBLE) AS hi FROM attack),
 bins AS (SELECT i AS bin, CASE WHEN i = 1 THEN lo - 0.001 ELSE lo + CAST(i - 1 AS DOUBLE) * ((hi - lo) / 20) END AS l,
                 CASE WHEN i = 20 THEN hi ELSE lo + CAST(i AS DOUBLE) * ((hi - lo) / 20) END AS r FROM range(1, 21) AS s(i), ends),
