@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convlens.functions import text as TX
@@ -31,7 +31,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     return df.join(first_rows(df, keys, row_id), row_id, "left_semi")
 
 
-def drop_seen(df: DataFrame, text: str, *others: Column | DataFrame, other_text: str = "text") -> DataFrame:
+def drop_seen(df: DataFrame, text: str, *others: DataFrame, other_text: str = "text") -> DataFrame:
     """Drop rows whose normalised text occurs in any of the other corpora."""
     seen = None
     for other in others:
@@ -73,19 +73,15 @@ def minhash_bands(
     hashed = grams.select(
         id_col, (F.conv(F.substring(F.md5("_g"), 1, 8), 16, 10).cast("bigint") % PRIME).alias("_h")
     )
-    mins = []
-    for i in range(bands * rows):
-        a, b = permutation(i)
-        mins.append(F.min((F.col("_h") * a + b) % PRIME).alias(f"_p{i}"))
-    signed = hashed.groupBy(id_col).agg(*mins)
-    keys = [
-        F.struct(
-            F.lit(b).alias("band"),
-            F.md5(F.concat_ws("-", *[F.col(f"_p{b * rows + r}") for r in range(rows)])).alias("key"),
-        )
-        for b in range(bands)
+    mins = [
+        F.expr(f"min((_h * {a} + {b}) % {PRIME}) AS _p{i}")
+        for i, (a, b) in enumerate(map(permutation, range(bands * rows)))
     ]
-    return signed.select(id_col, F.inline(F.array(*keys)))
+    keys = ", ".join(
+        f"struct({b} AS band, md5(concat_ws('-', {', '.join(f'_p{b * rows + r}' for r in range(rows))})) AS key)"
+        for b in range(bands)
+    )
+    return hashed.groupBy(id_col).agg(*mins).selectExpr(id_col, f"inline(array({keys}))")
 
 
 def drop_near_seen(

@@ -48,13 +48,8 @@ class SmoothIDF(Estimator, HasInputCol, HasOutputCol):
         )
 
 
-def text_features(text: str, max_n: int = 2, min_df: int = 5, max_df: float = 1.0, vocabulary: int = 1 << 22,
-                  stop: Sequence[str] = ()) -> Pipeline:
-    """TF-IDF pipeline: 1- to max_n-grams, sublinear counts, smooth idf, unit length.
-
-    The vocabulary lives on the driver, like every MLlib linear model; its size
-    bounds the model, not the data.
-    """
+def text_terms(text: str, max_n: int = 2, stop: Sequence[str] = ()) -> list[SQLTransformer]:
+    """Stages that list the 1- to max_n-grams of a text in `_terms`."""
     pattern = K.TERM_TOKEN.replace("\\", "\\\\")
     found = f"regexp_extract_all(lower(`{text}`), '{pattern}', 0)"
     if stop:
@@ -66,11 +61,21 @@ def text_features(text: str, max_n: int = 2, min_df: int = 5, max_df: float = 1.
         grams.append(
             f"slice(transform(_tokens, (t, i) -> concat_ws(' ', t, {joined})), 1, greatest(size(_tokens) - {n - 1}, 0))"
         )
+    return [
+        SQLTransformer(statement=f"SELECT *, {found} AS _tokens FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _terms FROM __THIS__"),
+    ]
+
+
+def term_features(min_df: int = 5, max_df: float = 1.0, vocabulary: int = 1 << 22) -> Pipeline:
+    """TF-IDF of `_terms`: sublinear counts, smooth idf, unit length.
+
+    The vocabulary lives on the driver, like every MLlib linear model; its size
+    bounds the model, not the data.
+    """
     limit = {} if max_df >= 1 else {"maxDF": float(max_df)}
     return Pipeline(
         stages=[
-            SQLTransformer(statement=f"SELECT *, {found} AS _tokens FROM __THIS__"),
-            SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _terms FROM __THIS__"),
             CountVectorizer(inputCol="_terms", outputCol="_counts", minDF=float(min_df), vocabSize=vocabulary, **limit),
             SublinearCounts("_counts", "_damped"),
             SmoothIDF("_damped", "_weighted"),
@@ -89,21 +94,40 @@ def logistic(label: str, strength: float, rows: int, max_iter: int = 100) -> Log
     """Balanced L2 logistic regression. Balanced weights sum to the row count, so C becomes 1 / (C * rows)."""
     return LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="_weight", regParam=1.0 / (strength * rows),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, aggregationDepth=3,
+        elasticNetParam=0.0, standardization=False, maxIter=max_iter
     )
 
 
-def fit_text_model(train: DataFrame, text: str, label: str, strength: float = 8.0, **features) -> PipelineModel:
+ROWS_PER_TASK = 2000
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """Keep a training table in memory or on disk, with no fewer than 2,000 rows per task.
+
+    Training reads it once per iteration, so tasks without work would dominate
+    a small table; a large one keeps its partitions.
+    """
+    kept = df.persist()
+    tasks = kept.count() // ROWS_PER_TASK + 1
+    return kept.coalesce(tasks) if tasks < kept.rdd.getNumPartitions() else kept
+
+
+def listed(df: DataFrame, stages: Sequence[Transformer], label: str) -> DataFrame:
+    """Labels and terms of a table, tokenised once."""
+    for stage in stages:
+        df = stage.transform(df)
+    return compact(df.select(label, "_terms"))
+
+
+def fit_text_model(train: DataFrame, text: str, label: str, strength: float = 8.0, max_n: int = 2,
+                   stop: Sequence[str] = (), **features) -> PipelineModel:
     """Fit features and classifier on the training rows only; reuse the result on any table."""
-    train = train.select(text, label).persist()
-    pipe = text_features(text, **features).fit(train)
-    ready = with_class_weights(pipe.transform(train).select(label, "features"), label).persist()
-    try:
-        classifier = logistic(label, strength, ready.count()).fit(ready)
-    finally:
-        ready.unpersist()
-        train.unpersist()
-    return PipelineModel(stages=[*pipe.stages, classifier])
+    terms = text_terms(text, max_n, stop)
+    rows = listed(train, terms, label)
+    pipe = term_features(**features).fit(rows)
+    ready = compact(with_class_weights(pipe.transform(rows).select(label, "features"), label))
+    classifier = logistic(label, strength, ready.count()).fit(ready)
+    return PipelineModel(stages=[*terms, *pipe.stages, classifier])
 
 
 def score(model, df: DataFrame, threshold: float = K.THRESHOLD) -> DataFrame:
@@ -113,25 +137,22 @@ def score(model, df: DataFrame, threshold: float = K.THRESHOLD) -> DataFrame:
 
 
 def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),
-                strengths: Iterable[float] = (1, 8, 32), **features) -> DataFrame:
+                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), **features) -> DataFrame:
     """One row of validation metrics per (min_df, C), areas from probabilities.
 
-    Features are fitted and kept once per min_df.
+    Texts are tokenised once, features fitted and kept once per min_df.
     """
+    terms = text_terms(text, max_n, stop)
+    train, val = listed(train, terms, label), listed(val, terms, label)
     rows = []
-    train, val = train.select(text, label).persist(), val.select(text, label).persist()
     for min_df in min_dfs:
-        pipe = text_features(text, min_df=min_df, **features).fit(train)
-        ready = with_class_weights(pipe.transform(train).select(label, "features"), label).persist()
-        held = pipe.transform(val).select(label, "features").persist()
+        pipe = term_features(min_df=min_df, **features).fit(train)
+        ready = compact(with_class_weights(pipe.transform(train).select(label, "features"), label))
+        held = compact(pipe.transform(val).select(label, "features"))
         n = ready.count()
         for c in strengths:
             model = logistic(label, c, n).fit(ready)
             rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, held), label)})
-        ready.unpersist()
-        held.unpersist()
-    train.unpersist()
-    val.unpersist()
     return train.sparkSession.createDataFrame(rows)
 
 
@@ -179,28 +200,22 @@ def feed_forward(label: str, dimension: int, hidden: Sequence[int] = (128, 64),
 def sweep(train: DataFrame, val: DataFrame, label: str, dimension: int, configs: dict[int, dict]) -> DataFrame:
     """One row per configuration: train and validation PR score, their gap, number of weights."""
     rows = []
-    train, val = train.persist(), val.persist()
+    train, val = compact(train), compact(val)
     for run, config in configs.items():
         model = feed_forward(label, dimension, **config).fit(train)
         on_train = evaluate(score(model, train), label)["average_precision"]
         on_val = evaluate(score(model, val), label)["average_precision"]
         rows.append((run, str(config), int(model.weights.size), float(on_train), float(on_val), abs(float(on_val) - float(on_train))))
-    spark = train.sparkSession
-    train.unpersist()
-    val.unpersist()
-    return spark.createDataFrame(rows, "run int, config string, weights int, train_pr double, val_pr double, gap double")
+    return train.sparkSession.createDataFrame(rows, "run int, config string, weights int, train_pr double, val_pr double, gap double")
 
 
 def seeds_and_arms(arms: dict[str, DataFrame], test: DataFrame, label: str, dimension: int, seeds: Sequence[int], **config) -> DataFrame:
     """Train every arm with every seed; one row of test metrics each."""
     rows = []
-    test = test.persist()
+    test = compact(test)
     for arm, train in arms.items():
-        train = train.persist()
+        train = compact(train)
         for seed in seeds:
             model = feed_forward(label, dimension, seed=seed, **config).fit(train)
             rows.append({"arm": arm, "seed": seed, **evaluate(score(model, test), label)})
-        train.unpersist()
-    spark = test.sparkSession
-    test.unpersist()
-    return spark.createDataFrame(rows)
+    return test.sparkSession.createDataFrame(rows)

@@ -141,19 +141,19 @@ def below_quantile(df: DataFrame, column: str, q: float = 0.99, strict: bool = F
     return df.filter(F.col(column) < limit) if strict else df.filter(F.col(column) <= limit)
 
 
-def edges(df: DataFrame, column: str, bins: int = K.LENGTH_BINS, margin: float = K.LEFT_EDGE_MARGIN) -> Column:
-    """Equal-width bin edges over the column's range, the first one lowered by the margin."""
-    ends = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / bins
-    inner = [F.col("lo") + F.lit(float(i)) * step for i in range(1, bins)]
-    return ends.select(F.array(F.col("lo") - F.lit(margin), *inner, F.col("hi"))).scalar()
+def edges(df: DataFrame, column: str, bins: int = K.LENGTH_BINS, margin: float = K.LEFT_EDGE_MARGIN) -> list[float]:
+    """Equal-width bin edges over the column's range, the first one lowered by the margin.
+
+    Runs one aggregation: two numbers come back and become literals of the plan.
+    """
+    lo, hi = ranking.value_range(df, column)
+    step = (hi - lo) / bins
+    return [lo - margin, *[lo + i * step for i in range(1, bins)], hi]
 
 
-def with_bin(df: DataFrame, column: str, edge_array: Column, bins: int = K.LENGTH_BINS) -> DataFrame:
+def with_bin(df: DataFrame, column: str, limits: Sequence[float]) -> DataFrame:
     """Add the 1-based right-closed `bin` of the column (`lo < x <= hi`); null outside all bins."""
-    held = df.withColumn("_edges", edge_array)
-    below = sum(((F.col(column) > F.get("_edges", F.lit(i))).cast("int") for i in range(bins + 1)), F.lit(0))
-    return held.withColumn("bin", F.when(below.between(1, bins), below)).drop("_edges")
+    return df.withColumn("bin", cut(F.col(column), limits))
 
 
 def cut(x: Column, limits: Sequence[float], include_lowest: bool = False) -> Column:
@@ -164,9 +164,9 @@ def cut(x: Column, limits: Sequence[float], include_lowest: bool = False) -> Col
     return F.when(below.between(1, len(limits) - 1), below)
 
 
-def bin_counts(df: DataFrame, column: str, edge_array: Column, bins: int = K.LENGTH_BINS) -> DataFrame:
+def bin_counts(df: DataFrame, column: str, limits: Sequence[float]) -> DataFrame:
     """Rows per bin."""
-    placed = with_bin(df.select(column), column, edge_array, bins)
+    placed = with_bin(df.select(column), column, limits)
     return placed.filter("bin is not null").groupBy("bin").agg(F.count("*").alias("n"))
 
 

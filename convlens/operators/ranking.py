@@ -39,13 +39,17 @@ def score_bucket(prob: Column, per_unit: int = 64) -> Column:
     )
 
 
+def value_range(df: DataFrame, column: str) -> tuple[float, float]:
+    """Smallest and largest value of a column: one aggregation, two numbers."""
+    lo, hi = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    return (0.0, 0.0) if lo is None else (lo, hi)
+
+
 def width_bucket(df: DataFrame, column: str, buckets: int = 4096) -> Column:
     """Order-keeping equal-width bucket of a numeric column over its own range."""
-    ends = df.agg(
-        F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")
-    ).select(F.struct("lo", "hi")).scalar()
-    span = F.greatest(ends["hi"] - ends["lo"], F.lit(1e-300))
-    return F.floor((F.col(column).cast("double") - ends["lo"]) / span * buckets).cast("int")
+    lo, hi = value_range(df, column)
+    width = (hi - lo) / buckets or 1.0
+    return F.floor((F.col(column).cast("double") - F.lit(lo)) / F.lit(width)).cast("int")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -41,8 +41,8 @@ def sample_matched(target: DataFrame, pool: DataFrame, value: str, id_col: str,
     `profile.bin_sufficiency` reports the shortfall.
     """
     limits = profile.edges(target, value, bins)
-    needed = profile.bin_counts(target, value, limits, bins).withColumnRenamed("n", "q1")
-    placed = profile.with_bin(pool, value, limits, bins).filter("bin is not null")
+    needed = profile.bin_counts(target, value, limits).withColumnRenamed("n", "q1")
+    placed = profile.with_bin(pool, value, limits).filter("bin is not null")
     return ranking.lowest_by_hash(placed, needed, id_col, ["bin"], seed)
 
 

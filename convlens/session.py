@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+_local_folder: list[str] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the session names.
 
@@ -45,15 +49,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="convlens-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="convlens-checkpoint-"))
+    return _local_folder[0]
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Compute a table once and keep it in the shared checkpoint folder.
+    """Compute a table once, as a written table in the shared checkpoint folder.
 
-    Used for narrow tables that several branches of one plan read.
+    Used for narrow tables that several branches of one plan read. Unlike a
+    cached table it survives lost executors, and its size is known to Spark.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(df.sparkSession)}/convlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
