@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convlens.functions import conversation as C
+from convlens.sources import readers
 
 REGISTRY: dict = {}
 
@@ -29,7 +30,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = readers.read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        return readers.spread(df) if name in ("documents", "pages") else df
 
     def prompts(self) -> DataFrame:
         """Labelled single-turn prompts."""
@@ -106,6 +108,13 @@ def tagged_text() -> Column:
     return F.concat(F.lit("[NAME_"), (F.col("turn") % 3 + 1).cast("string"), F.lit("] "), F.col("text"))
 
 
+# The same white space spelt out for the SQL side.
+SQL_SPACE = (
+    r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+SQL_WORD = f"[^{SQL_SPACE}]+"
+
 # SQL counterparts of the corpora above, as common table expressions.
 PROMPTS = "prompts AS (SELECT * FROM documents JOIN labels USING (doc_id))"
 

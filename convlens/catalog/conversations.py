@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from convlens import constants as K
-from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, TAGGED, query, r6, tagged_text
+from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, SQL_SPACE, SQL_WORD, TAGGED, query, r6, tagged_text
 from convlens.functions import columns as B
 from convlens.functions import conversation as C
 from convlens.functions import text as TX
@@ -15,7 +14,7 @@ from convlens.sources import readers
 WITH {PROMPTS}, built AS (
   SELECT doc_id, text AS u, CASE WHEN quality = 1 THEN source ELSE '' END AS a FROM prompts)
 SELECT doc_id, '__ROLE_USER__ ' || u || ' __ROLE_ASSISTANT__ ' || a AS conversation,
-       len(regexp_extract_all(u || ' ' || a, '{K.WORD}')) AS n_words, 2 AS n_turns
+       len(regexp_extract_all(u || ' ' || a, '{SQL_WORD}')) AS n_words, 2 AS n_turns
 FROM built""")
 def prompt_to_conversation(t):
     response = F.when(F.col("quality") == 1, F.col("source"))
@@ -36,7 +35,7 @@ def conversation_text_roles(t):
 
 
 @query("conversation_lengths", f"""
-SELECT conv_id, CAST(sum(len(regexp_extract_all(text, '{K.WORD}'))) AS BIGINT) AS n_words,
+SELECT conv_id, CAST(sum(len(regexp_extract_all(text, '{SQL_WORD}'))) AS BIGINT) AS n_words,
        CAST(sum(length(text)) AS BIGINT) AS n_chars, count(*) AS n_turns,
        count(*) FILTER (role = 'user') AS n_user_turns
 FROM conversations GROUP BY conv_id""")
@@ -71,8 +70,8 @@ ids AS (SELECT DISTINCT conv_id FROM conversations)
 SELECT conv_id, count(text) AS n_user_turns,
        coalesce(length(first(text ORDER BY turn)), 0) AS first_len,
        coalesce(length(last(text ORDER BY turn)), 0) AS last_len,
-       regexp_replace(first(text ORDER BY turn) FILTER (regexp_matches(text, '[^{K.SPACE}]')),
-                      '^[{K.SPACE}]+|[{K.SPACE}]+$', '', 'g') AS topic_text
+       regexp_replace(first(text ORDER BY turn) FILTER (regexp_matches(text, '[^{SQL_SPACE}]')),
+                      '^[{SQL_SPACE}]+|[{SQL_SPACE}]+$', '', 'g') AS topic_text
 FROM ids LEFT JOIN u USING (conv_id) GROUP BY conv_id""")
 def user_turn_first_last(t):
     turns = t.nested().select("conv_id", C.user_turns(F.col("conversation")).alias("u"))

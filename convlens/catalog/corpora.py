@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from convlens import constants as K
-from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, query, r6
+from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, SQL_WORD, query, r6
 from convlens.catalog.samples import key, sql_split, sql_three_way
 from convlens.catalog.texts import sql_clean, sql_list
 from convlens.functions import columns as B
@@ -15,7 +15,7 @@ from convlens.plans import corpora
 
 @query("harm_by_group", f"""
 WITH {PROMPTS}, c AS (SELECT quality = 0 AS adversarial, toxic AS harm, {sql_clean('text')} AS cleaned FROM prompts),
-s AS (SELECT *, len(regexp_extract_all(cleaned, '{K.WORD}')) AS n_words FROM c)
+s AS (SELECT *, len(regexp_extract_all(cleaned, '{SQL_WORD}')) AS n_words FROM c)
 SELECT adversarial, harm, count(*) AS n, CAST(sum(n_words) AS BIGINT) AS n_words,
        round(avg(CAST(CAST(n_words >= 400 AS INTEGER) = harm AS INTEGER)), 6) AS accuracy
 FROM s GROUP BY adversarial, harm""")
@@ -48,7 +48,7 @@ l AS (SELECT doc_id, quality, text, CASE WHEN n_chars > 500 THEN source ELSE ''
              CAST(toxic = 1 OR lang = 'fr' AS INTEGER) AS harm FROM f WHERE rn = 1),
 train AS (SELECT doc_id, harm FROM l WHERE quality = 1), s AS ({sql_split('train', 'harm', 0.2, 1234, 'train', 'val')}),
 e AS (SELECT l.*, coalesce(s.split, 'test') AS split, '__ROLE_USER__ ' || text || ' __ROLE_ASSISTANT__ ' || response AS conversation,
-             len(regexp_extract_all(text, '{K.WORD}')) + len(regexp_extract_all(response, '{K.WORD}')) AS n_words
+             len(regexp_extract_all(text, '{SQL_WORD}')) + len(regexp_extract_all(response, '{SQL_WORD}')) AS n_words
       FROM l LEFT JOIN s USING (doc_id))
 SELECT CASE WHEN split = 'test' THEN doc_id + (SELECT max(doc_id) + 1 FROM prompts WHERE quality = 1) ELSE doc_id END AS conversation_id,
        conversation, {sql_clean('conversation')} AS conversation_proc, n_words, harm, split FROM e""")
@@ -75,7 +75,7 @@ cats AS (SELECT conv_id, concat_ws(',', CASE WHEN bool_or(flagged AND harassment
      CASE WHEN bool_or(flagged AND english) THEN 'self-harm' END, CASE WHEN bool_or(flagged AND violence) THEN 'violence' END) AS flagged_categories
   FROM messages GROUP BY conv_id),
 flat AS (SELECT n.conv_id, string_agg('__ROLE_' || upper(n.role) || '__ ' || n.content, ' ' ORDER BY n.turn) AS conversation,
-                CAST(sum(len(regexp_extract_all(n.content, '{K.WORD}'))) AS BIGINT) AS n_words FROM named n GROUP BY n.conv_id),
+                CAST(sum(len(regexp_extract_all(n.content, '{SQL_WORD}'))) AS BIGINT) AS n_words FROM named n GROUP BY n.conv_id),
 k AS (SELECT conv_id, conversation, n_words, CAST(any_flagged AS INTEGER) AS harm FROM flat JOIN chats ON conv_id = conversation_id
       WHERE language = 'English' AND turn >= 2 AND n_words < 6000),
 r AS (SELECT *, row_number() OVER (PARTITION BY harm ORDER BY {key('conv_id')}, conv_id) AS rn FROM k)
@@ -114,7 +114,7 @@ def length_matched_corpus(t):
 
 
 def sql_prepared(text: str) -> str:
-    return (f"array_to_string(list_filter(regexp_extract_all({sql_clean(text)}, '{K.WORD}'), "
+    return (f"array_to_string(list_filter(regexp_extract_all({sql_clean(text)}, '{SQL_WORD}'), "
             f"lambda x: x NOT IN {sql_list(K.ENGLISH_STOP)}), ' ')")
 
 

@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from convlens import constants as K
-from convlens.catalog.base import PROMPTS, SCORED, query, r6
+from convlens.catalog.base import PROMPTS, SCORED, SQL_WORD, query, r6
 from convlens.functions import columns as B
 from convlens.functions import text as TX
 from convlens.operators import joins, metrics, profile, quality, ranking
@@ -75,7 +74,7 @@ def rounded(d, by, probs):
 
 @query("describe_by_group", f"""
 SELECT lang, {DESCRIBED.format(x='n')} {sql_quantiles('n', WIDE)}, max(n) AS "max"
-FROM (SELECT lang, len(regexp_extract_all(text, '{K.WORD}')) AS n FROM documents) GROUP BY lang""")
+FROM (SELECT lang, len(regexp_extract_all(text, '{SQL_WORD}')) AS n FROM documents) GROUP BY lang""")
 def describe_by_group(t):
     rows = t("documents").select("lang", TX.word_count(F.col("text")).alias("n"))
     return rounded(profile.describe(rows, "n", ["lang"], WIDE), ["lang"], WIDE)
@@ -90,7 +89,7 @@ def describe_values(t):
 
 
 @query("describe_side_by_side", f"""
-WITH v AS (SELECT 'n_words' AS series, CAST(len(regexp_extract_all(text, '{K.WORD}')) AS DOUBLE) AS value FROM documents
+WITH v AS (SELECT 'n_words' AS series, CAST(len(regexp_extract_all(text, '{SQL_WORD}')) AS DOUBLE) AS value FROM documents
            UNION ALL SELECT 'n_chars', CAST(length(text) AS DOUBLE) FROM documents)
 SELECT series, {DESCRIBED.format(x='value')} {sql_quantiles('value', (0.25, 0.5, 0.75))}, max(value) AS "max" FROM v GROUP BY series""")
 def describe_side_by_side(t):
@@ -143,7 +142,7 @@ def group_multi_aggregates(t):
 
 
 @query("p99_trim", f"""
-WITH w AS (SELECT doc_id, len(regexp_extract_all(text, '{K.WORD}')) AS n FROM documents),
+WITH w AS (SELECT doc_id, len(regexp_extract_all(text, '{SQL_WORD}')) AS n FROM documents),
 q AS (SELECT quantile_cont(n, 0.99) AS q FROM w)
 SELECT round(any_value(q), 6) AS upper, count(*) FILTER (n <= q) AS kept, count(*) FILTER (n > q) AS excluded,
        round(avg(CAST(n <= 500 AS INTEGER)), 6) AS share_to_500, round(median(n), 6) AS median
@@ -202,7 +201,7 @@ def bin_sufficiency(t):
 
 
 @query("boxplot_stats", f"""
-WITH {PROMPTS}, w AS (SELECT quality, toxic, len(regexp_extract_all(text, '{K.WORD}')) AS n FROM prompts),
+WITH {PROMPTS}, w AS (SELECT quality, toxic, len(regexp_extract_all(text, '{SQL_WORD}')) AS n FROM prompts),
 q AS (SELECT quality, toxic, count(*) AS c, quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS med, quantile_cont(n, 0.75) AS q3 FROM w GROUP BY ALL)
 SELECT quality, toxic, any_value(c) AS n, round(any_value(q1), 6) AS q1, round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
        min(n) FILTER (n BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_lo,

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from convlens import constants as K
-from convlens.catalog.base import PROMPTS, query
+from convlens.catalog.base import PROMPTS, SQL_SPACE, SQL_WORD, query
 from convlens.functions import text as TX
 from convlens.operators import dedup, ngrams
 
@@ -30,9 +30,9 @@ def clean_pages(t):
 
 @query("clean_no_stopwords", f"""
 WITH c AS (SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents),
-w AS (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(cleaned, '{K.WORD}'),
+w AS (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(cleaned, '{SQL_WORD}'),
              lambda x: x NOT IN {sql_list(K.ENGLISH_STOP)}), ' ') AS kept FROM c)
-SELECT doc_id, kept FROM w WHERE regexp_matches(kept, '[^{K.SPACE}]')""")
+SELECT doc_id, kept FROM w WHERE regexp_matches(kept, '[^{SQL_SPACE}]')""")
 def clean_no_stopwords(t):
     cleaned = t("documents").select("doc_id", TX.clean_text(F.col("text")).alias("_c"))
     kept = cleaned.select("doc_id", TX.without_stop_words(F.col("_c")).alias("kept"))
@@ -40,7 +40,7 @@ def clean_no_stopwords(t):
 
 
 @query("word_char_counts", f"""
-SELECT doc_id, len(regexp_extract_all(text, '{K.WORD}')) AS n_words, length(text) AS n_chars,
+SELECT doc_id, len(regexp_extract_all(text, '{SQL_WORD}')) AS n_words, length(text) AS n_chars,
        CASE WHEN length(text) = 0 THEN 'unknown'
             WHEN len(regexp_extract_all(text, '{K.CJK}')) / length(text) > 0.05 THEN 'zh' ELSE 'en' END AS guess
 FROM documents""")
@@ -117,7 +117,7 @@ def top_bigrams_by_class(t):
 
 @query("vocab_by_corpus", f"""
 SELECT lang, count(DISTINCT word) AS vocabulary
-FROM (SELECT lang, unnest(regexp_extract_all(text, '{K.WORD}')) AS word FROM documents) GROUP BY lang""")
+FROM (SELECT lang, unnest(regexp_extract_all(text, '{SQL_WORD}')) AS word FROM documents) GROUP BY lang""")
 def vocab_by_corpus(t):
     return ngrams.vocabulary_size(t("documents"), "text", "lang")
 
@@ -125,7 +125,7 @@ def vocab_by_corpus(t):
 @query("truncate_tokens", f"""
 SELECT doc_id, array_to_string(list_slice(w, greatest(len(w) - 127, 1), len(w)), ' ') AS last_tokens,
        array_to_string(list_slice(w, 1, 128), ' ') AS first_tokens, 'classification: ' || text AS prefixed
-FROM (SELECT doc_id, text, regexp_extract_all(text, '{K.WORD}') AS w FROM documents)""")
+FROM (SELECT doc_id, text, regexp_extract_all(text, '{SQL_WORD}') AS w FROM documents)""")
 def truncate_tokens(t):
     rows = t("documents").select("doc_id", "text", TX.words(F.col("text")).alias("_w"))
     w = F.col("_w")
@@ -152,8 +152,8 @@ def dedup_multi_key_nested(t):
 
 
 def sql_norm(text: str) -> str:
-    return (f"lower(regexp_replace(regexp_replace({text}, '[{K.SPACE}]+', ' ', 'g'), "
-            f"'^[{K.SPACE}]+|[{K.SPACE}]+$', '', 'g'))")
+    return (f"lower(regexp_replace(regexp_replace({text}, '[{SQL_SPACE}]+', ' ', 'g'), "
+            f"'^[{SQL_SPACE}]+|[{SQL_SPACE}]+$', '', 'g'))")
 
 
 @query("dedup_cross_source", f"""
@@ -177,7 +177,7 @@ def sql_bands() -> str:
         for b in range(8)
     )
     return f"""
-words AS (SELECT doc_id, regexp_extract_all({sql_norm('text')}, '{K.WORD}') AS w FROM documents),
+words AS (SELECT doc_id, regexp_extract_all({sql_norm('text')}, '{SQL_WORD}') AS w FROM documents),
 grams AS (SELECT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM words),
 hashes AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % {dedup.PRIME} AS h FROM grams),

@@ -1,11 +1,11 @@
 """Fixed values that decide results. All are stated plainly, in natural order."""
 
-# Code points that separate words (Unicode white space).
-SPACE = (
-    r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-WORD = f"[^{SPACE}]+"
+# Words, and the white space between them (Unicode white space
+# and the four ASCII separators).
+WORD = r"(?U)[^\s\x{1c}-\x{1f}]+"
+WHITE_SPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
+OUTER_SPACE = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
+NOT_BLANK = r"(?U)[^\s\x{1c}-\x{1f}]"
 
 # Cleaning patterns.
 TAG = "<[^>]*>"

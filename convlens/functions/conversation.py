@@ -152,7 +152,7 @@ def flagged_categories(moderation: Column) -> Column:
     """Sorted distinct names of true categories over the flagged messages."""
     names = F.transform(
         F.filter(moderation, lambda m: m["flagged"]),
-        lambda m: F.map_keys(F.map_filter(m["categories"], lambda _, v: v)),
+        lambda m: F.coalesce(F.map_keys(F.map_filter(m["categories"], lambda _, v: v)), F.array()),
     )
     return F.array_sort(F.array_distinct(F.flatten(names)))
 

@@ -27,12 +27,12 @@ def char_count(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without leading and trailing white space."""
-    return F.regexp_replace(text, f"^[{K.SPACE}]+|[{K.SPACE}]+$", "")
+    return F.regexp_replace(text, K.OUTER_SPACE, "")
 
 
 def is_blank(text: Column) -> Column:
     """True for null text and for text of white space only."""
-    return F.coalesce(~text.rlike(f"[^{K.SPACE}]"), F.lit(True))
+    return F.coalesce(~text.rlike(K.NOT_BLANK), F.lit(True))
 
 
 def clean_text(text: Column) -> Column:
@@ -95,7 +95,7 @@ def guess_language(text: Column) -> Column:
 
 def normalized(text: Column) -> Column:
     """Lower-cased text with collapsed white space: the key of exact deduplication."""
-    return F.lower(strip(F.regexp_replace(text, f"[{K.SPACE}]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(text, K.WHITE_SPACE, " ")))
 
 
 def fingerprint(*columns: Column) -> Column:

@@ -98,11 +98,11 @@ def logistic(label: str, strength: float, rows: int, max_iter: int = 100) -> Log
     )
 
 
-ROWS_PER_TASK = 2000
+ROWS_PER_TASK = 500
 
 
 def compact(df: DataFrame) -> DataFrame:
-    """Keep a training table in memory or on disk, with no fewer than 2,000 rows per task.
+    """Keep a training table in memory or on disk, with about 500 rows per task at least.
 
     Training reads it once per iteration, so tasks without work would dominate
     a small table; a large one keeps its partitions.

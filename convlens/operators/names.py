@@ -39,7 +39,7 @@ def draw_names(tokens: DataFrame, key: str, token: str, intervals: DataFrame, se
 
 
 def found_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(K.NAME_TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(K.NAME_TOKEN), F.lit(0))
 
 
 def substitute(text: Column, mapping: Column) -> Column:

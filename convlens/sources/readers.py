@@ -12,7 +12,7 @@ from convlens import constants as K
 from convlens.functions import conversation as C
 from convlens.functions import columns as B
 
-__all__ = ["read_parquet", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview"]
+__all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview"]
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, ordered: bool = False) -> DataFrame:
@@ -24,6 +24,16 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructT
     return df.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small file out to all cores before work on their texts.
+
+    A file of one row group is read by one task. A table that already fills
+    the cluster is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """CSV with a header; cells may hold quotes and line breaks."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
