@@ -30,13 +30,20 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __call__(self, name: str) -> DataFrame:
-        df = readers.read_parquet(self.spark, f"{self.folder}/{name}.parquet")
-        return readers.spread(df) if name in ("documents", "pages") else df
+        return readers.read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+
+    def texts(self, name: str) -> DataFrame:
+        """A table read for work on its texts."""
+        return readers.spread(self(name))
 
     def prompts(self) -> DataFrame:
         """Labelled single-turn prompts."""
         return self("documents").join(self("labels"), "doc_id")
 
+    def prompt_texts(self) -> DataFrame:
+        """The same, read for work on the texts."""
+        return self.texts("documents").join(self("labels"), "doc_id")
+
     def scored(self) -> DataFrame:
         """Prompts with a score, tied on purpose, and its prediction."""
         score = F.round(F.least("n_chars", F.lit(5000)) / 5000.0, 2)

@@ -18,7 +18,7 @@ SELECT doc_id, '__ROLE_USER__ ' || u || ' __ROLE_ASSISTANT__ ' || a AS conversat
 FROM built""")
 def prompt_to_conversation(t):
     response = F.when(F.col("quality") == 1, F.col("source"))
-    built = t.prompts().select("doc_id", C.from_prompt(F.col("text"), response).alias("c"))
+    built = t.prompt_texts().select("doc_id", C.from_prompt(F.col("text"), response).alias("c"))
     return built.select(
         "doc_id", C.text_with_roles(F.col("c")).alias("conversation"),
         C.n_words(F.col("c")).alias("n_words"), C.n_turns(F.col("c")).alias("n_turns"),

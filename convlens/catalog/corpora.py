@@ -20,7 +20,7 @@ SELECT adversarial, harm, count(*) AS n, CAST(sum(n_words) AS BIGINT) AS n_words
        round(avg(CAST(CAST(n_words >= 400 AS INTEGER) = harm AS INTEGER)), 6) AS accuracy
 FROM s GROUP BY adversarial, harm""")
 def harm_by_group(t):
-    rows = t.prompts().select(
+    rows = t.prompt_texts().select(
         (F.col("quality") == 0).alias("adversarial"), B.equals(F.col("toxic"), 1).alias("harm"),
         TX.clean_text(F.col("text")).alias("cleaned"),
     ).withColumn("n_words", TX.word_count(F.col("cleaned")))
@@ -32,7 +32,7 @@ def harm_by_group(t):
 
 
 def single_raw(t, quality: int):
-    return t.prompts().filter(F.col("quality") == quality).select(
+    return t.prompt_texts().filter(F.col("quality") == quality).select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("prompt"),
         F.when(F.col("n_chars") > 500, F.col("source")).alias("response"),
         F.when(F.col("toxic") == 1, "harmful").otherwise("unharmful").alias("prompt_harm_label"),
@@ -141,7 +141,7 @@ UNION ALL SELECT 'single', 'test', doc_id, conversation, ts.harm FROM ts JOIN st
 def two_corpora_splits(t):
     chats = t.chats()
     multi = chats.select("conversation_id", "conversation", C.any_flagged(F.col("openai_moderation")).cast("int").alias("harm"))
-    single = t.prompts().select(
+    single = t.prompt_texts().select(
         F.col("doc_id").alias("conversation_id"), C.from_prompt(F.col("text"), F.lit(None).cast("string")).alias("conversation"),
         F.col("toxic").alias("harm"), "quality",
     )

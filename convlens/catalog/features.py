@@ -20,7 +20,7 @@ kept AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM df, n WHERE df >= 5
 wt AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM tf JOIN kept USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM wt""")
 def tfidf_weights(t):
-    rows = t.prompts().select("doc_id", "text")
+    rows = t.prompt_texts().select("doc_id", "text")
     weights = tfidf.tfidf(rows, "doc_id", TX.term_tokens(F.col("text")), 2, 5, 0.9)
     return weights.withColumn("weight", r6("weight"))
 
@@ -66,13 +66,13 @@ def nearest_label(t):
 
 @query("embed_texts")
 def embed_texts(t):
-    rows = t("documents").select("doc_id", "text")
+    rows = t.texts("documents").select("doc_id", "text")
     model = embeddings.fit_word_vectors(rows, "text", size=16)
     return embeddings.embed_by_words(rows, "doc_id", "text", model)
 
 
 def text_splits(t):
-    rows = t.prompts().select("doc_id", F.col("toxic").alias("harm"), TX.clean_text(F.col("text")).alias("text"))
+    rows = t.prompt_texts().select("doc_id", F.col("toxic").alias("harm"), TX.clean_text(F.col("text")).alias("text"))
     split = session.stage(sampling.stratified_split(rows.select("doc_id", "harm"), "harm", "doc_id", 0.2))
     both = rows.join(split.select("doc_id", "split"), "doc_id")
     return both.filter("split = 'train'").drop("split"), both.filter("split = 'val'").drop("split")

@@ -76,7 +76,7 @@ def rounded(d, by, probs):
 SELECT lang, {DESCRIBED.format(x='n')} {sql_quantiles('n', WIDE)}, max(n) AS "max"
 FROM (SELECT lang, len(regexp_extract_all(text, '{SQL_WORD}')) AS n FROM documents) GROUP BY lang""")
 def describe_by_group(t):
-    rows = t("documents").select("lang", TX.word_count(F.col("text")).alias("n"))
+    rows = t.texts("documents").select("lang", TX.word_count(F.col("text")).alias("n"))
     return rounded(profile.describe(rows, "n", ["lang"], WIDE), ["lang"], WIDE)
 
 
@@ -93,7 +93,7 @@ WITH v AS (SELECT 'n_words' AS series, CAST(len(regexp_extract_all(text, '{SQL_W
            UNION ALL SELECT 'n_chars', CAST(length(text) AS DOUBLE) FROM documents)
 SELECT series, {DESCRIBED.format(x='value')} {sql_quantiles('value', (0.25, 0.5, 0.75))}, max(value) AS "max" FROM v GROUP BY series""")
 def describe_side_by_side(t):
-    rows = t("documents").select(TX.word_count(F.col("text")).alias("n_words"), TX.char_count(F.col("text")).alias("n_chars"))
+    rows = t.texts("documents").select(TX.word_count(F.col("text")).alias("n_words"), TX.char_count(F.col("text")).alias("n_chars"))
     return rounded(profile.describe_many(rows, ["n_words", "n_chars"]), ["series"], (0.25, 0.5, 0.75))
 
 
@@ -148,7 +148,7 @@ SELECT round(any_value(q), 6) AS upper, count(*) FILTER (n <= q) AS kept, count(
        round(avg(CAST(n <= 500 AS INTEGER)), 6) AS share_to_500, round(median(n), 6) AS median
 FROM w, q""")
 def p99_trim(t):
-    rows = t("documents").select("doc_id", TX.word_count(F.col("text")).alias("n"))
+    rows = t.texts("documents").select("doc_id", TX.word_count(F.col("text")).alias("n"))
     kept = profile.below_quantile(rows, "n").agg(F.count("*")).scalar()
     return rows.agg(
         r6(F.percentile("n", F.lit(0.99))).alias("upper"), F.count("*").alias("_all"),
@@ -209,7 +209,7 @@ SELECT quality, toxic, any_value(c) AS n, round(any_value(q1), 6) AS q1, round(a
        count(*) FILTER (n NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
 FROM w JOIN q USING (quality, toxic) GROUP BY quality, toxic""")
 def boxplot_stats(t):
-    rows = t.prompts().select("quality", "toxic", TX.word_count(F.col("text")).alias("n"))
+    rows = t.prompt_texts().select("quality", "toxic", TX.word_count(F.col("text")).alias("n"))
     return profile.boxplot(rows.withColumnRenamed("n", "words"), "words", ["quality", "toxic"]).select(
         "quality", "toxic", "n", r6("q1").alias("q1"), r6("median").alias("median"), r6("q3").alias("q3"),
         "whisker_lo", "whisker_hi", "n_outliers",

@@ -20,12 +20,12 @@ def sql_clean(text: str) -> str:
 
 @query("clean_text", f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
 def clean_text(t):
-    return t("documents").select("doc_id", TX.clean_text(F.col("text")).alias("cleaned"))
+    return t.texts("documents").select("doc_id", TX.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("clean_pages", f"SELECT page_id, {sql_clean('html')} AS cleaned FROM pages")
 def clean_pages(t):
-    return t("pages").select("page_id", TX.clean_text(F.col("html")).alias("cleaned"))
+    return t.texts("pages").select("page_id", TX.clean_text(F.col("html")).alias("cleaned"))
 
 
 @query("clean_no_stopwords", f"""
@@ -34,7 +34,7 @@ w AS (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(cleaned, '{S
              lambda x: x NOT IN {sql_list(K.ENGLISH_STOP)}), ' ') AS kept FROM c)
 SELECT doc_id, kept FROM w WHERE regexp_matches(kept, '[^{SQL_SPACE}]')""")
 def clean_no_stopwords(t):
-    cleaned = t("documents").select("doc_id", TX.clean_text(F.col("text")).alias("_c"))
+    cleaned = t.texts("documents").select("doc_id", TX.clean_text(F.col("text")).alias("_c"))
     kept = cleaned.select("doc_id", TX.without_stop_words(F.col("_c")).alias("kept"))
     return kept.filter(~TX.is_blank(F.col("kept")))
 
@@ -46,7 +46,7 @@ SELECT doc_id, len(regexp_extract_all(text, '{SQL_WORD}')) AS n_words, length(te
 FROM documents""")
 def word_char_counts(t):
     text = F.col("text")
-    return t("documents").select(
+    return t.texts("documents").select(
         "doc_id", TX.word_count(text).alias("n_words"), TX.char_count(text).alias("n_chars"),
         TX.guess_language(text).alias("guess"),
     )
@@ -71,7 +71,7 @@ n AS (SELECT harm, gram, count(*) AS n FROM w GROUP BY harm, gram),
 r AS (SELECT *, row_number() OVER (PARTITION BY harm ORDER BY n DESC, gram) AS "rank" FROM n)
 SELECT harm, gram, n, "rank" FROM r WHERE "rank" <= 20""")
 def top_unigrams_by_class(t):
-    rows = t.prompts().withColumnRenamed("toxic", "harm")
+    rows = t.prompt_texts().withColumnRenamed("toxic", "harm")
     top = ngrams.top_grams(rows, TX.letter_tokens(F.col("text")), "harm", 1, 20)
     return top.withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -94,7 +94,7 @@ FROM r WHERE "rank" <= 25 GROUP BY "rank"
 
 @query("ngram_table", NGRAM_TABLE)
 def ngram_table(t):
-    rows = t.prompts().withColumnRenamed("toxic", "harm")
+    rows = t.prompt_texts().withColumnRenamed("toxic", "harm")
     lists = {}
     for n in (1, 2):
         top = ngrams.top_grams(rows, TX.lower_tokens(F.col("text")), "harm", n, 25)
@@ -110,7 +110,7 @@ n AS (SELECT harm, gram, count(*) AS n FROM g GROUP BY harm, gram),
 r AS (SELECT *, row_number() OVER (PARTITION BY harm ORDER BY n DESC, gram) AS "rank" FROM n)
 SELECT harm, gram, n, "rank" FROM r WHERE "rank" <= 20""")
 def top_bigrams_by_class(t):
-    rows = t.prompts().withColumnRenamed("toxic", "harm")
+    rows = t.prompt_texts().withColumnRenamed("toxic", "harm")
     top = ngrams.top_grams(rows, TX.letter_tokens(F.col("text")), "harm", 2, 20)
     return top.withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -119,7 +119,7 @@ def top_bigrams_by_class(t):
 SELECT lang, count(DISTINCT word) AS vocabulary
 FROM (SELECT lang, unnest(regexp_extract_all(text, '{SQL_WORD}')) AS word FROM documents) GROUP BY lang""")
 def vocab_by_corpus(t):
-    return ngrams.vocabulary_size(t("documents"), "text", "lang")
+    return ngrams.vocabulary_size(t.texts("documents"), "text", "lang")
 
 
 @query("truncate_tokens", f"""
@@ -127,7 +127,7 @@ SELECT doc_id, array_to_string(list_slice(w, greatest(len(w) - 127, 1), len(w)),
        array_to_string(list_slice(w, 1, 128), ' ') AS first_tokens, 'classification: ' || text AS prefixed
 FROM (SELECT doc_id, text, regexp_extract_all(text, '{SQL_WORD}') AS w FROM documents)""")
 def truncate_tokens(t):
-    rows = t("documents").select("doc_id", "text", TX.words(F.col("text")).alias("_w"))
+    rows = t.texts("documents").select("doc_id", "text", TX.words(F.col("text")).alias("_w"))
     w = F.col("_w")
     return rows.select(
         "doc_id", F.array_join(TX.last_tokens(w, 128), " ").alias("last_tokens"),
@@ -139,7 +139,7 @@ def truncate_tokens(t):
 @query("dedup_keep_first", """
 SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")
 def dedup_keep_first(t):
-    return dedup.keep_first(t("documents"), ["text"], "doc_id").select("doc_id", "source")
+    return dedup.keep_first(t.texts("documents"), ["text"], "doc_id").select("doc_id", "source")
 
 
 @query("dedup_multi_key_nested", """
@@ -147,7 +147,7 @@ SELECT doc_id, lang FROM (
   SELECT *, row_number() OVER (PARTITION BY lang, [{'user': text, 'bot': lang}] ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""")
 def dedup_multi_key_nested(t):
     pair = F.array(F.struct(F.col("text").alias("user"), F.col("lang").alias("bot")))
-    rows = t("documents").select("doc_id", "lang", pair.alias("history"))
+    rows = t.texts("documents").select("doc_id", "lang", pair.alias("history"))
     return dedup.keep_first(rows, ["lang", "history"], "doc_id").select("doc_id", "lang")
 
 
@@ -163,9 +163,9 @@ WITH {PROMPTS}, seen AS (
   UNION SELECT {sql_norm('text')} FROM conversations WHERE role = 'user')
 SELECT doc_id, source FROM prompts WHERE {sql_norm('text')} NOT IN (SELECT k FROM seen)""")
 def dedup_cross_source(t):
-    others = t("documents").join(t("labels"), "doc_id", "left_anti")
+    others = t.texts("documents").join(t("labels"), "doc_id", "left_anti")
     users = t("conversations").filter("role = 'user'")
-    kept = dedup.drop_seen(t.prompts(), "text", others, t("benchmark"), users)
+    kept = dedup.drop_seen(t.prompt_texts(), "text", others, t("benchmark"), users)
     return kept.select("doc_id", "source")
 
 
@@ -190,6 +190,6 @@ WITH {sql_bands()}
 SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id NOT IN (
   SELECT doc_id FROM banded WHERE k IN (SELECT k FROM banded WHERE doc_id NOT IN (SELECT doc_id FROM labels)))""")
 def near_dup_minhash(t):
-    others = t("documents").join(t("labels"), "doc_id", "left_anti")
-    kept = dedup.drop_near_seen(t.prompts(), "doc_id", "text", others, "doc_id")
+    others = t.texts("documents").join(t("labels"), "doc_id", "left_anti")
+    kept = dedup.drop_near_seen(t.prompt_texts(), "doc_id", "text", others, "doc_id")
     return kept.select("doc_id", "source")

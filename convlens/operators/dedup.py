@@ -16,9 +16,10 @@ def first_rows(df: DataFrame, keys: Sequence[str], row_id: str, carry: Sequence[
     Groups on a digest with a partial minimum, so a key that fills a third of
     the table leaves each task as one narrow row. Null keys are equal.
     """
-    narrow = df.select(
-        TX.fingerprint(*[F.col(k) for k in keys]).alias("_fp"), F.struct(row_id, *carry).alias("_row")
-    )
+    key = TX.fingerprint(*[F.col(k) for k in keys]).alias("_fp")
+    if not carry:
+        return df.select(key, row_id).groupBy("_fp").agg(F.min(row_id).alias(row_id)).select(row_id)
+    narrow = df.select(key, F.struct(row_id, *carry).alias("_row"))
     return narrow.groupBy("_fp").agg(F.min("_row").alias("_row")).select("_row.*")
 
 

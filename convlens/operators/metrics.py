@@ -99,14 +99,10 @@ def score_steps(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
     counts = df.groupBy(*by, score).agg(
         F.sum(label).cast("bigint").alias("pos"), F.sum(1 - F.col(label)).cast("bigint").alias("neg")
     )
-    steps = ranking.running_totals(
-        counts, [F.desc(score)], -ranking.score_bucket(F.col(score)), {"tp": F.col("pos"), "fp": F.col("neg")}, by
+    return ranking.running_totals(
+        counts, [F.desc(score)], -ranking.score_bucket(F.col(score)), {"tp": F.col("pos"), "fp": F.col("neg")}, by,
+        {"tp": "n_pos", "fp": "n_neg"},
     )
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    if by:
-        return ranking.join_null_safe(steps, totals, by)
-    whole = totals.select(F.struct("n_pos", "n_neg")).scalar()
-    return steps.withColumns({"n_pos": whole["n_pos"], "n_neg": whole["n_neg"]})
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:

@@ -68,31 +68,36 @@ def running_totals(
     bucket: Column,
     measures: dict[str, Column],
     by: Sequence[str] = (),
+    totals_as: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of the measures along the order, per group.
 
+    `totals_as` names extra columns for the group totals of measures; they come
+    with the bucket offsets, so a hot group is not brought together for them.
+
     `bucket` must not decrease along the order. Rows that tie on the order get
     their totals in any sequence, so group ties first where that matters.
     """
     by = list(by)
-    spread = df.withColumns({"_bucket": bucket, **{f"_m_{n}": m for n, m in measures.items()}})
-    keys = [*by, "_bucket"]
-    totals = spread.groupBy(*keys).agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures])
+    key = F.struct(*by, bucket.alias("_bucket"))
+    spread = df.withColumns({"_k": key, **{f"_m_{n}": m for n, m in measures.items()}})
+    totals = spread.groupBy("_k").agg(*[F.sum(f"_m_{n}").alias(f"_t_{n}") for n in measures])
     before = (
-        Window.partitionBy(*(by or [F.lit(0)]))
-        .orderBy("_bucket")
+        Window.partitionBy(*([F.col(f"_k.{c}") for c in by] or [F.lit(0)]))
+        .orderBy("_k._bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    whole = Window.partitionBy(*([F.col(f"_k.{c}") for c in by] or [F.lit(0)]))
+    ends = [F.sum(f"_t_{n}").over(whole).alias(name) for n, name in (totals_as or {}).items()]
     offsets = totals.select(
-        *keys, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in measures]
-    )
-    inside = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        "_k", *ends, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in measures]
     )
+    inside = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = spread.withColumns({f"_l_{n}": F.sum(f"_m_{n}").over(inside) for n in measures})
-    joined = join_null_safe(local, offsets, keys)
+    # One key column for window and join: rows move once, and null groups meet.
+    joined = local.join(offsets, "_k")
     return joined.withColumns({n: F.col(f"_l_{n}") + F.col(f"_o_{n}") for n in measures}).drop(
-        "_bucket", *[f"{p}{n}" for n in measures for p in ("_m_", "_l_", "_o_")]
+        "_k", *[f"{p}{n}" for n in measures for p in ("_m_", "_l_", "_o_")]
     )
 
 
@@ -197,12 +202,9 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[s
     by = list(by)
     known = df.filter(F.col(column).isNotNull())
     counts = known.groupBy(*by, column).agg(F.count("*").alias("_n"))
-    cum = running_totals(counts, [column], width_bucket(known, column), {"_cum": F.col("_n")}, by)
-    totals = known.groupBy(*by).agg(F.count("*").alias("_total"))
-    if by:
-        cum = join_null_safe(cum, totals, by)
-    else:
-        cum = cum.withColumn("_total", totals.select("_total").scalar())
+    cum = running_totals(
+        counts, [column], width_bucket(known, column), {"_cum": F.col("_n")}, by, {"_cum": "_total"}
+    )
     start = F.col("_cum") - F.col("_n")
     picks = []
     for i, p in enumerate(probs):
