@@ -35,7 +35,7 @@ w AS (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(cleaned, '{S
 SELECT doc_id, kept FROM w WHERE regexp_matches(kept, '[^{SQL_SPACE}]')""")
 def clean_no_stopwords(t):
     cleaned = t.texts("documents").select("doc_id", TX.clean_text(F.col("text")).alias("_c"))
-    kept = cleaned.select("doc_id", TX.without_stop_words(F.col("_c")).alias("kept"))
+    kept = cleaned.select("doc_id", TX.held(TX.without_stop_words(F.col("_c"))).alias("kept"))
     return kept.filter(~TX.is_blank(F.col("kept")))
 
 

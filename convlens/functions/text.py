@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from convlens import constants as K
 
 
+def held(column: Column) -> Column:
+    """The column as a one-row generator, for costly text that a filter reads next.
+
+    A filter moved below a projection makes the expression run twice; it does
+    not move below a generator. Select it under an alias.
+    """
+    return F.explode(F.array(column))
+
+
 def words(text: Column) -> Column:
     """The words of a text, split on Unicode white space."""
     return F.regexp_extract_all(text, F.lit(K.WORD), F.lit(0))

@@ -36,7 +36,7 @@ def drop_seen(df: DataFrame, text: str, *others: DataFrame, other_text: str = "t
     """Drop rows whose normalised text occurs in any of the other corpora."""
     seen = None
     for other in others:
-        part = other.select(TX.fingerprint(TX.normalized(F.col(other_text))).alias("_fp"))
+        part = other.select(TX.held(TX.fingerprint(TX.normalized(F.col(other_text)))).alias("_fp"))
         seen = part if seen is None else seen.unionByName(part)
     keyed = df.withColumn("_fp", TX.fingerprint(TX.normalized(F.col(text))))
     return keyed.join(seen.distinct(), "_fp", "left_anti").drop("_fp")
@@ -62,7 +62,7 @@ def minhash_bands(
     of ids. Each shingle becomes one row and the signature is a partial
     minimum, so long texts and hot texts combine inside their own task.
     """
-    tokens = df.select(id_col, TX.words(TX.normalized(F.col(text))).alias("_w"))
+    tokens = df.select(id_col, TX.held(TX.words(TX.normalized(F.col(text)))).alias("_w"))
     grams = tokens.select(
         id_col,
         F.explode(

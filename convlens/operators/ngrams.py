@@ -10,7 +10,7 @@ from convlens.functions import text as TX
 
 def gram_counts(df: DataFrame, tokens: Column, by: str, n: int = 1) -> DataFrame:
     """Count of every n-gram per class: (class, gram, n)."""
-    listed = df.select(by, tokens.alias("_t"))
+    listed = df.select(by, TX.held(tokens).alias("_t"))
     grams = listed.select(by, F.explode(TX.ngrams(F.col("_t"), n)).alias("gram"))
     return grams.groupBy(by, "gram").agg(F.count("*").alias("n"))
 

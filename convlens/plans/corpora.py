@@ -100,8 +100,8 @@ def length_matched(attacks: DataFrame, chats: DataFrame, dictionary: DataFrame,
 def _prepared(df: DataFrame, conversation: str) -> DataFrame:
     """Text without roles, tags, punctuation and stop words; blank rows dropped."""
     cleaned = df.withColumn("_c", TX.clean_text(C.text_without_roles(F.col(conversation))))
-    kept = cleaned.withColumn("conversation", TX.without_stop_words(F.col("_c"))).drop("_c")
-    return kept.filter(~TX.is_blank(F.col("conversation"))).select("conversation_id", "conversation", "harm")
+    kept = cleaned.select("conversation_id", TX.held(TX.without_stop_words(F.col("_c"))).alias("conversation"), "harm")
+    return kept.filter(~TX.is_blank(F.col("conversation")))
 
 
 def two_corpora(multi: DataFrame, single_train: DataFrame, single_test: DataFrame, seed: int = K.SEED,
