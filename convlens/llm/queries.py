@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convlens.llm import simhash
+from convlens.llm import simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_simhash_near_dedup(spark, folder):
     return simhash.groups(table(spark, folder, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    kept = ("doc_id", "p_low_quality", "p_toxic", "p_toxic_low_quality", "rejected")
+    return toxicity.judge(docs.select("doc_id", "text"), labels).select(*kept)
