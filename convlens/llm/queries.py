@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from convlens.llm import simhash, toxicity
+from convlens.llm import decontaminate, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +33,19 @@ def op8_toxicity(spark, folder):
     docs, labels = (table(spark, folder, t) for t in ("documents", "labels"))
     kept = ("doc_id", "p_low_quality", "p_toxic", "p_toxic_low_quality", "rejected")
     return toxicity.judge(docs.select("doc_id", "text"), labels).select(*kept)
+
+
+@query
+def op3_benchmark_decontamination(spark, folder):
+    docs, items = (table(spark, folder, t) for t in ("documents", "benchmark"))
+    hits = decontaminate.with_hits(docs.select("doc_id", "text"), items)
+    found = hits.select("doc_id", F.explode("hits").alias("h"))
+    return found.select("doc_id", F.col("h.item").alias("item_id"), "h.similarity", "h.first_word", "h.n_words")
+
+
+@query
+def op10_token_id_output(spark, folder):
+    path = packing.new_path(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    packing.write_blocks(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packing.read_documents(spark, path)
