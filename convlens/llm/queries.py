@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import decontaminate, packing, simhash, toxicity
+from convlens.llm import decontaminate, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,3 +49,36 @@ def op10_token_id_output(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     packing.write_blocks(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return packing.read_documents(spark, path)
+
+
+@query
+def op9_source_mixing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    mixed = mixing.with_copies(docs, max_repetition=1.5)
+    return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "copies")
+
+
+# The exponent in closed form; the partial pass as a running sum over the whole source.
+SQL["op9_source_mixing"] = r"""
+WITH words AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|1234'), 1, 12) AS BIGINT) AS place
+  FROM documents),
+totals AS (SELECT source, CAST(sum(n_tokens) AS DOUBLE) AS total FROM words GROUP BY source),
+shares AS (SELECT *, total / sum(total) OVER () AS share FROM totals WHERE total > 0),
+expo AS (
+  SELECT CASE WHEN max(share) = min(share) THEN 0.0
+              ELSE greatest(0.0, 1 - ln(1.5) / ln(max(share) / min(share))) END AS a, max(share) AS top FROM shares),
+weights AS (
+  SELECT source, total, pow(share, a) / sum(pow(share, a)) OVER () AS weight, pow(top / share, 1 - a) AS repetition
+  FROM shares, expo
+  UNION ALL SELECT source, total, 0.0, 1.0 FROM totals WHERE total = 0),
+quota AS (
+  SELECT source, weight, CAST(floor(repetition + 1e-9) AS BIGINT) AS passes,
+         CAST(greatest(0, floor((repetition - floor(repetition + 1e-9)) * total + 1e-6)) AS BIGINT) AS rest
+  FROM weights),
+placed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY place) AS upto FROM words)
+SELECT doc_id, p.source, CAST(n_tokens AS BIGINT) AS n_tokens, round(weight, 9) AS weight,
+       passes + CAST(rest > 0 AND upto <= rest AS BIGINT) AS copies
+FROM placed p JOIN quota q ON p.source IS NOT DISTINCT FROM q.source
+"""
