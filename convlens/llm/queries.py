@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import decontaminate, mixing, packing, simhash, toxicity
+from convlens.llm import decontaminate, mixing, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,70 @@ SELECT doc_id, p.source, CAST(n_tokens AS BIGINT) AS n_tokens, round(weight, 9)
        passes + CAST(rest > 0 AND upto <= rest AS BIGINT) AS copies
 FROM placed p JOIN quota q ON p.source IS NOT DISTINCT FROM q.source
 """
+
+
+@query
+def op7_quality_rules(spark, folder):
+    return quality.judge(table(spark, folder, "documents"))
+
+
+# The same counts from rows of words, windows and lines; the same bins from natural logarithms.
+SQL["op7_quality_rules"] = r"""
+WITH docs AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+places AS (SELECT doc_id, w, unnest(range(len(w) - 7)) AS p FROM docs WHERE len(w) >= 8),
+windows AS (SELECT doc_id, p, array_to_string(w[p + 1 : p + 8], ' ') AS g FROM places),
+twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(*) AS n_repeat_words
+  FROM (SELECT DISTINCT doc_id, unnest(range(p, p + 8)) AS at FROM twice) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+dups AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         word_chars / greatest(n_words, 1) AS m1, n_symbols / greatest(n_words, 1) AS m2,
+         n_repeat_words / greatest(n_words, 1) AS m3, n_dup_lines / greatest(n_words, 1) AS m4
+  FROM base),
+long AS (
+  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest([m1, m2, m3, m4]) AS v FROM judged WHERE NOT base_failed),
+bins AS (
+  SELECT lang, source, m, CASE WHEN v < 0.001 THEN 0 ELSE CAST(floor(ln(v / 0.001) / ln(1.02)) AS INTEGER) + 1 END AS bin FROM long),
+levels AS (
+  SELECT 1 AS lvl, lang, source, m, bin, count(*) AS n FROM bins GROUP BY ALL
+  UNION ALL SELECT 2, lang, NULL, m, bin, count(*) FROM bins GROUP BY ALL
+  UNION ALL SELECT 3, NULL, NULL, m, bin, count(*) FROM bins GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, m ORDER BY bin) AS upto,
+         sum(n) OVER (PARTITION BY lvl, lang, source, m) AS whole
+  FROM levels),
+quartiles AS (
+  SELECT lvl, lang, source, m, max(whole) AS docs, min(bin) FILTER (upto >= 0.25 * whole) AS b1, min(bin) FILTER (upto >= 0.75 * whole) AS b3
+  FROM ranked GROUP BY ALL),
+valued AS (
+  SELECT *, CASE WHEN b1 = 0 THEN 0.0 ELSE 0.001 * pow(1.02, b1 - 0.5) END AS q1,
+         CASE WHEN b3 = 0 THEN 0.0 ELSE 0.001 * pow(1.02, b3 - 0.5) END AS q3 FROM quartiles),
+fence AS (
+  SELECT lvl, lang, source, m, docs, q3 + 3 * greatest(q3 - q1, [0.5, 0.05, 0.1, 0.02][m]) AS high,
+         CASE WHEN m = 1 THEN q1 - 3 * greatest(q3 - q1, 0.5) ELSE -1 END AS low FROM valued),
+applied AS (
+  SELECT j.doc_id, f.lvl, f.docs, bool_and([m1, m2, m3, m4][f.m] BETWEEN f.low AND f.high) AS inside
+  FROM judged j JOIN fence f
+    ON (f.lvl = 1 AND f.lang IS NOT DISTINCT FROM j.lang AND f.source IS NOT DISTINCT FROM j.source)
+    OR (f.lvl = 2 AND f.lang IS NOT DISTINCT FROM j.lang) OR f.lvl = 3
+  WHERE NOT j.base_failed GROUP BY ALL),
+chosen AS (
+  SELECT doc_id, arg_min(inside, lvl) AS inside FROM applied WHERE docs >= 50 OR lvl = 3 GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(inside, true) AS kept
+FROM judged LEFT JOIN chosen USING (doc_id)
+"""
