@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import decontaminate, mixing, packing, quality, simhash, toxicity
+from convlens.llm import chat, decontaminate, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls
+from convlens.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,3 +150,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND coalesce(inside, true) AS kept
 FROM judged LEFT JOIN chosen USING (doc_id)
 """
+
+
+@query
+def op5_url_filter(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labelled = urls.numbered_labels(pages, table(spark, folder, "labels"))
+    rules = [
+        ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+        ("block", "net/es/"), ("block", "net/fr/"),
+    ]
+    return urls.judge(pages, labelled, rules)
+
+
+@query
+def op2_license_scan(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join(F.sort_array("licenses"), " ").alias("licenses")
+    )
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"('{s}', '{n}')" for n, s in licenses.SENTENCES.items())
+    rules = ", ".join(f"('{n}', ' {' '.join(r)} ')" for n, r in licenses.RULES)
+    return rf"""
+WITH known(sentence, id) AS (VALUES {known}), rules(name, run) AS (VALUES {rules}),
+texts AS (
+  SELECT doc_id, 1 AS way, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT doc_id, 2, translate(coalesce(text, ''), chr(13) || chr(10), '  ') FROM documents),
+cut AS (
+  SELECT doc_id, way, unnest(range(len(s))) AS pos, unnest(s) AS sentence
+  FROM (SELECT doc_id, way, string_split(regexp_replace(t, '[.!?;:]+[\x20\x09-\x0D]+', chr(10), 'g'), chr(10)) AS s FROM texts)),
+hits AS (
+  SELECT doc_id, way, pos, id FROM cut JOIN known
+    ON trim(regexp_replace(lower(cut.sentence), '[^a-z0-9]+', ' ', 'g')) = known.sentence),
+runs AS (SELECT doc_id, way, string_agg(id, ' ' ORDER BY pos) AS ids, count(*) AS n FROM hits GROUP BY doc_id, way),
+named AS (
+  SELECT doc_id, string_agg(DISTINCT name, ' ' ORDER BY name) AS licenses
+  FROM runs JOIN rules ON contains(' ' || ids || ' ', run) GROUP BY doc_id),
+longest AS (SELECT doc_id, arg_max(ids, n * 10 - way) AS ids FROM runs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses
+FROM documents d LEFT JOIN longest USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+SQL["op2_license_scan"] = _license_sql()
+
+
+@query
+def op6_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.with_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op4_chat_formatting(spark, folder):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    texts = stage(chat.formatted(chat.canonical(rows, "conv_id"), "conv_id"))
+    return chat.read_back(texts, "conv_id")
+
+
+def _chat_sql() -> str:
+    escaped = r"replace(text, '\', '\\')"
+    for c in sorted(chat.CONTROL, key=len, reverse=True):
+        escaped = f"replace({escaped}, '{c}', '{c[0]}\\{c[1:]}')"
+    marks = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in chat.TURN.items())
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r)),
+sized AS (
+  SELECT *, length({escaped}) + CASE role {marks} END AS size FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+SQL["op4_chat_formatting"] = _chat_sql()
