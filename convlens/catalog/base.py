@@ -69,8 +69,8 @@ class Tables:
         text, low = F.col("text"), F.lower("text")
         flags = F.create_map(
             F.lit("harassment"), low.contains("hate"),
-            F.lit("self-harm"), F.concat(F.lit(" "), low, F.lit(" ")).contains(" the "),
-            F.lit("violence"), low.contains("tion"),
+            F.lit("self-harm"), low.contains("stst"),
+            F.lit("violence"), low.contains("blewh"),
         )
         one = F.struct(
             "turn", "role", tagged_text().alias("content"),
@@ -137,7 +137,8 @@ MESSAGES = f"""messages AS (
          contains(lower(text), 'hate') OR length(text) > 1200 AS flagged,
          contains(lower(text), 'hate') AS harassment,
          contains(' ' || lower(text) || ' ', ' the ') AS english,
-         contains(lower(text), 'tion') AS violence
+         contains(lower(text), 'stst') AS self_harm,
+         contains(lower(text), 'blewh') AS violence
   FROM conversations)"""
 
 CHATS = MESSAGES + """, chats AS (
@@ -146,7 +147,7 @@ CHATS = MESSAGES + """, chats AS (
          CASE WHEN bool_or(english) THEN 'English' ELSE 'other' END AS language,
          count(*) FILTER (role = 'user') AS turn,
          bool_or(flagged) AS any_flagged,
-         NOT bool_or(harassment OR english OR violence) AS clean,
+         NOT bool_or(harassment OR self_harm OR violence) AS clean,
          bool_or(short) AS redacted
   FROM messages GROUP BY conv_id)"""
 

@@ -51,9 +51,9 @@ def conversation_lengths(t):
 WITH {MESSAGES}
 SELECT conv_id AS conversation_id, CAST(bool_or(flagged) AS INTEGER) AS harm,
        concat_ws(',', CASE WHEN bool_or(flagged AND harassment) THEN 'harassment' END,
-                      CASE WHEN bool_or(flagged AND english) THEN 'self-harm' END,
+                      CASE WHEN bool_or(flagged AND self_harm) THEN 'self-harm' END,
                       CASE WHEN bool_or(flagged AND violence) THEN 'violence' END) AS flagged_categories,
-       CAST(NOT bool_or(harassment OR english OR violence) AS INTEGER) AS clean
+       CAST(NOT bool_or(harassment OR self_harm OR violence) AS INTEGER) AS clean
 FROM messages GROUP BY conv_id""")
 def moderation_flags(t):
     m = F.col("openai_moderation")
@@ -167,16 +167,16 @@ WITH {CHATS}
 SELECT count(*) AS scanned, count(*) FILTER (language = 'English') AS english,
        count(*) FILTER (language = 'English' AND turn >= 2) AS long,
        count(*) FILTER (language = 'English' AND turn >= 2 AND NOT any_bad AND NOT redacted) AS clean,
-       least(count(*) FILTER (language = 'English' AND turn >= 2 AND NOT any_bad AND NOT redacted), 3000) AS kept
+       least(count(*) FILTER (language = 'English' AND turn >= 2 AND NOT any_bad AND NOT redacted), 5) AS kept
 FROM (SELECT *, NOT clean AS any_bad FROM chats)""")
 def filter_funnel(t):
-    return readers.filter_funnel(t.chats(), min_turns=2, target=3000)
+    return readers.filter_funnel(t.chats(), min_turns=2, target=5)
 
 
 @query("clean_dialogues", f"""
 WITH {CHATS}
 SELECT conversation_id, model, turn AS n_user_turns FROM chats
-WHERE language = 'other' AND turn >= 1 AND clean AND NOT redacted""")
+WHERE language = 'English' AND turn >= 3 AND clean AND NOT redacted""")
 def clean_dialogues(t):
-    kept = readers.clean_dialogues(t.chats(), min_turns=1, language="other")
+    kept = readers.clean_dialogues(t.chats(), min_turns=3)
     return kept.select("conversation_id", "model", F.col("n_user_turns").cast("bigint").alias("n_user_turns"))

@@ -72,7 +72,7 @@ named AS (SELECT m.conv_id, m.turn, m.role, coalesce(r.content, m.content) AS co
 @query("multiturn_corpus", f"""
 WITH {NAMED},
 cats AS (SELECT conv_id, concat_ws(',', CASE WHEN bool_or(flagged AND harassment) THEN 'harassment' END,
-     CASE WHEN bool_or(flagged AND english) THEN 'self-harm' END, CASE WHEN bool_or(flagged AND violence) THEN 'violence' END) AS flagged_categories
+     CASE WHEN bool_or(flagged AND self_harm) THEN 'self-harm' END, CASE WHEN bool_or(flagged AND violence) THEN 'violence' END) AS flagged_categories
   FROM messages GROUP BY conv_id),
 flat AS (SELECT n.conv_id, string_agg('__ROLE_' || upper(n.role) || '__ ' || n.content, ' ' ORDER BY n.turn) AS conversation,
                 CAST(sum(len(regexp_extract_all(n.content, '{SQL_WORD}'))) AS BIGINT) AS n_words FROM named n GROUP BY n.conv_id),
@@ -82,7 +82,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY harm ORDER BY {key('conv_id')},
 SELECT conv_id AS conversation_id, conversation, {sql_clean('conversation')} AS conversation_proc, n_words, harm, flagged_categories
 FROM r JOIN cats USING (conv_id) WHERE rn <= 10""")
 def multiturn_corpus(t):
-    table = corpora.multi_turn(t.chats(), t.names(), sample_size=20, min_turns=2)
+    table = corpora.multi_turn(t.chats(), t.names(), sample_size=20, min_turns=2, complete=False)
     return table.withColumns(
         {"flagged_categories": F.array_join("flagged_categories", ","), "n_words": F.col("n_words").cast("bigint")}
     )
@@ -145,7 +145,7 @@ def two_corpora_splits(t):
         F.col("doc_id").alias("conversation_id"), C.from_prompt(F.col("text"), F.lit(None).cast("string")).alias("conversation"),
         F.col("toxic").alias("harm"), "quality",
     )
-    return corpora.two_corpora(multi, single.filter("quality = 1"), single.filter("quality = 0"))
+    return corpora.two_corpora(multi, single.filter("quality = 1"), single.filter("quality = 0"), complete=False)
 
 
 @query("error_analysis")

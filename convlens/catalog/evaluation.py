@@ -215,5 +215,5 @@ def best_runs(t):
 def bootstrap_ci(t):
     scored = t.scored()
     return bootstrap.f1_macro_interval(scored, "harm", "pred").unionByName(
-        bootstrap.roc_auc_interval(scored, "harm", "score", replicates=200)
+        bootstrap.roc_auc_interval(scored, "harm", "score")
     )

@@ -88,7 +88,7 @@ def logreg_scores(t):
 @query("logreg_grid")
 def logreg_grid(t):
     train, val = text_splits(t)
-    return models.grid_search(train, val, "text", "harm", (2, 5), (1, 8))
+    return models.grid_search(train, val, "text", "harm")
 
 
 @query("top_weights")
@@ -110,19 +110,21 @@ def vector_splits(t):
 @query("mlp_scores")
 def mlp_scores(t):
     train, val = vector_splits(t)
-    model = models.feed_forward("harm", 64, (32, 16), 20).fit(train)
+    model = models.feed_forward("harm", 64).fit(train)
     return models.score(model, val).select("vec_id", "harm", "prob", "pred")
 
 
 @query("mlp_sweep")
 def mlp_sweep(t):
     train, val = vector_splits(t)
-    configs = {0: {"hidden": (16, 8), "max_iter": 10}, 1: {"hidden": (8, 8), "max_iter": 10}}
-    return models.sweep(train, val, "harm", 64, configs)
+    hidden = [(128, 64), (64, 32), (32, 16), (128,), (64,), (32,), (128, 64, 32)]
+    configs = [{"hidden": h} for h in hidden] + [{"hidden": (64, 32), "step": s} for s in (0.01, 0.03, 0.1, 0.3)]
+    return models.ranked_runs(models.sweep(train, val, "harm", 64, dict(enumerate(configs))))
 
 
 @query("seeds_and_arms")
-def seeds_and_arms(t):
+def seeds_and_arms(t, small=100):
+    """A balanced sample of `small` rows against all rows, each with three seeds."""
     train, test = vector_splits(t)
-    arms = {"A": sampling.sample_balanced(train, 100, "harm", "vec_id"), "B": train}
-    return models.seeds_and_arms(arms, test, "harm", 64, (42, 1234), hidden=(8, 8), max_iter=10)
+    arms = {"A": sampling.sample_balanced(train, small, "harm", "vec_id", complete=False), "B": train}
+    return models.seeds_and_arms(arms, test, "harm", 64, (42, 1234, 7))

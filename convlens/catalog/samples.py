@@ -28,7 +28,7 @@ WITH {PROMPTS}, r AS (SELECT doc_id, toxic AS harm, row_number() OVER (PARTITION
 SELECT doc_id, harm FROM r WHERE k <= CASE WHEN harm = 1 THEN 21 ELSE 20 END""")
 def sample_balanced(t):
     rows = t.prompts().select("doc_id", F.col("toxic").alias("harm"))
-    return sampling.sample_balanced(rows, 41, "harm", "doc_id")
+    return sampling.sample_balanced(rows, 41, "harm", "doc_id", complete=False)
 
 
 @query("sample_per_group", f"""

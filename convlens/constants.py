@@ -61,21 +61,6 @@ ENGLISH_STOP = (
     "needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
-# Scenes a dialogue may be about.
-SCENES = [
-    "healthcare",
-    "privacy",
-    "employment",
-    "finance",
-    "education",
-    "legal",
-    "government and public services",
-    "consumer services",
-    "relationships and social support",
-    "other",
-]
-SCENE_SENTENCE = "This dialogue is mainly about {}."
-
 # Limits and sizes.
 SEED = 1234
 MAX_WORDS = 6000

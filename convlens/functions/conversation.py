@@ -116,11 +116,6 @@ def n_user_turns(conversation: Column) -> Column:
     return F.coalesce(F.size(F.filter(conversation, lambda m: m["role"] == "user")), F.lit(0))
 
 
-def n_user_pairs(history: Column) -> Column:
-    """Number of pairs with a non-empty user side."""
-    return F.coalesce(F.size(F.filter(history, lambda p: TX.char_count(p["user"]) > 0)), F.lit(0))
-
-
 def user_turns(conversation: Column) -> Column:
     """Non-empty contents of messages sent by a user or human."""
     sent = F.filter(

@@ -68,7 +68,7 @@ def roc_auc_interval(df: DataFrame, label: str, score: str, replicates: int = 10
         F.sum(w * y).alias("pos"), F.sum(w * (1 - y)).alias("neg")
     )
     steps = ranking.running_totals(
-        counts, [F.desc(score)], -ranking.score_bucket(F.col(score)), {"tp": F.col("pos")}, ["replicate"]
+        counts, [F.desc(score)], -ranking.quantile_bucket(df, score), {"tp": F.col("pos")}, ["replicate"]
     )
     area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2) / (F.sum("pos") * F.sum("neg"))
     both = (F.sum("pos") > 0) & (F.sum("neg") > 0)

@@ -18,7 +18,8 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
 
 
 def attach(left: DataFrame, meta: DataFrame, key: str, columns: Sequence[str], complete: bool = True) -> DataFrame:
-    """Left-join metadata columns by key; with `complete`, every row must find some."""
+    """Left-join metadata columns by key, which must be unique in them; with `complete`, every row must find some."""
+    quality.require_unique(meta, key)
     joined = left.join(meta.select(key, *columns), key, "left")
     if complete:
         quality.require(joined, {f"no {c} for a row": F.col(c).isNull() for c in columns})

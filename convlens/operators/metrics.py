@@ -100,7 +100,7 @@ def score_steps(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
         F.sum(label).cast("bigint").alias("pos"), F.sum(1 - F.col(label)).cast("bigint").alias("neg")
     )
     return ranking.running_totals(
-        counts, [F.desc(score)], -ranking.score_bucket(F.col(score)), {"tp": F.col("pos"), "fp": F.col("neg")}, by,
+        counts, [F.desc(score)], -ranking.quantile_bucket(counts, score), {"tp": F.col("pos"), "fp": F.col("neg")}, by,
         {"tp": "n_pos", "fp": "n_neg"},
     )
 
@@ -182,6 +182,17 @@ def miss_rates(df: DataFrame, label: str, pred: str, by: str) -> DataFrame:
     )
 
 
+def false_alarm_rates(df: DataFrame, label: str, pred: str, by: str) -> DataFrame:
+    """False alarms, total negatives and their rate per group, highest rate first; groups without negatives are left out."""
+    return (
+        df.filter(F.col(label) == 0)
+        .groupBy(by)
+        .agg(F.count_if(F.col(pred) == 1).alias("false_alarms"), F.count("*").alias("total"))
+        .withColumn("false_alarm_rate", F.col("false_alarms") / F.col("total"))
+        .orderBy(F.desc("false_alarm_rate"), by)
+    )
+
+
 def calibration(df: DataFrame, label: str, pred: str, score: str, include_lowest: bool = False) -> DataFrame:
     """n, accuracy and share of positives per tenth of the score; a score of exactly 0 has no bucket."""
     limits = [i / 10 for i in range(11)]

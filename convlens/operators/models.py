@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convlens import constants as K
@@ -67,11 +67,11 @@ def text_terms(text: str, max_n: int = 2, stop: Sequence[str] = ()) -> list[SQLT
     ]
 
 
-def term_features(min_df: int = 5, max_df: float = 1.0, vocabulary: int = 1 << 22) -> Pipeline:
+def term_features(min_df: int = 5, max_df: float = 1.0, vocabulary: int = (1 << 31) - 1) -> Pipeline:
     """TF-IDF of `_terms`: sublinear counts, smooth idf, unit length.
 
-    The vocabulary lives on the driver, like every MLlib linear model; its size
-    bounds the model, not the data.
+    The vocabulary lives on the driver, like every MLlib linear model; `min_df`
+    bounds it. No term is dropped unless `vocabulary` is set lower.
     """
     limit = {} if max_df >= 1 else {"maxDF": float(max_df)}
     return Pipeline(
@@ -90,7 +90,7 @@ def with_class_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(weights), label)
 
 
-def logistic(label: str, strength: float, rows: int, max_iter: int = 100) -> LogisticRegression:
+def logistic(label: str, strength: float, rows: int, max_iter: int = 1000) -> LogisticRegression:
     """Balanced L2 logistic regression. Balanced weights sum to the row count, so C becomes 1 / (C * rows)."""
     return LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="_weight", regParam=1.0 / (strength * rows),
@@ -98,25 +98,16 @@ def logistic(label: str, strength: float, rows: int, max_iter: int = 100) -> Log
     )
 
 
-ROWS_PER_TASK = 500
-
-
-def compact(df: DataFrame) -> DataFrame:
-    """Keep a training table in memory or on disk, with about 500 rows per task at least.
-
-    Training reads it once per iteration, so tasks without work would dominate
-    a small table; a large one keeps its partitions.
-    """
-    kept = df.persist()
-    tasks = kept.count() // ROWS_PER_TASK + 1
-    return kept.coalesce(tasks) if tasks < kept.rdd.getNumPartitions() else kept
+def held(df: DataFrame) -> DataFrame:
+    """Keep a training table in memory or on disk: training reads it once per iteration. Release it with `unpersist`."""
+    return df.persist()
 
 
 def listed(df: DataFrame, stages: Sequence[Transformer], label: str) -> DataFrame:
     """Labels and terms of a table, tokenised once."""
     for stage in stages:
         df = stage.transform(df)
-    return compact(df.select(label, "_terms"))
+    return held(df.select(label, "_terms"))
 
 
 def fit_text_model(train: DataFrame, text: str, label: str, strength: float = 8.0, max_n: int = 2,
@@ -125,8 +116,12 @@ def fit_text_model(train: DataFrame, text: str, label: str, strength: float = 8.
     terms = text_terms(text, max_n, stop)
     rows = listed(train, terms, label)
     pipe = term_features(**features).fit(rows)
-    ready = compact(with_class_weights(pipe.transform(rows).select(label, "features"), label))
+    ready = held(with_class_weights(pipe.transform(rows).select(label, "features"), label))
     classifier = logistic(label, strength, ready.count()).fit(ready)
+    if classifier.summary.totalIterations >= classifier.getMaxIter():
+        raise RuntimeError(f"not converged after {classifier.getMaxIter()} iterations")
+    ready.unpersist()
+    rows.unpersist()
     return PipelineModel(stages=[*terms, *pipe.stages, classifier])
 
 
@@ -147,12 +142,14 @@ def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs
     rows = []
     for min_df in min_dfs:
         pipe = term_features(min_df=min_df, **features).fit(train)
-        ready = compact(with_class_weights(pipe.transform(train).select(label, "features"), label))
-        held = compact(pipe.transform(val).select(label, "features"))
+        ready = held(with_class_weights(pipe.transform(train).select(label, "features"), label))
+        unseen = held(pipe.transform(val).select(label, "features"))
         n = ready.count()
         for c in strengths:
             model = logistic(label, c, n).fit(ready)
-            rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, held), label)})
+            rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, unseen), label)})
+        ready.unpersist()
+        unseen.unpersist()
     return train.sparkSession.createDataFrame(rows)
 
 
@@ -190,32 +187,46 @@ def with_vectors(df: DataFrame, embedding: str) -> DataFrame:
 
 
 def feed_forward(label: str, dimension: int, hidden: Sequence[int] = (128, 64), max_iter: int = 100,
-                 step: float = 0.03, seed: int = K.SEED) -> MultilayerPerceptronClassifier:
-    """Two-class network with the given hidden layers."""
+                 step: float | None = None, seed: int = K.SEED) -> MultilayerPerceptronClassifier:
+    """Two-class network with the given hidden layers; with a step, trained by gradient descent instead of L-BFGS."""
     return MultilayerPerceptronClassifier(
-        layers=[dimension, *hidden, 2], featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step, seed=seed
+        layers=[dimension, *hidden, 2], featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed,
+        **({"solver": "l-bfgs"} if step is None else {"solver": "gd", "stepSize": step}),
     )
 
 
 def sweep(train: DataFrame, val: DataFrame, label: str, dimension: int, configs: dict[int, dict]) -> DataFrame:
     """One row per configuration: train and validation PR score, their gap, number of weights."""
     rows = []
-    train, val = compact(train), compact(val)
+    train, val = held(train), held(val)
     for run, config in configs.items():
         model = feed_forward(label, dimension, **config).fit(train)
         on_train = evaluate(score(model, train), label)["average_precision"]
         on_val = evaluate(score(model, val), label)["average_precision"]
         rows.append((run, str(config), int(model.weights.size), float(on_train), float(on_val), abs(float(on_val) - float(on_train))))
+    train.unpersist()
+    val.unpersist()
     return train.sparkSession.createDataFrame(rows, "run int, config string, weights int, train_pr double, val_pr double, gap double")
 
 
+def ranked_runs(runs: DataFrame) -> DataFrame:
+    """Runs of a sweep with their places by validation score and by the gap to training, ties to the lower run."""
+    whole = Window.partitionBy(F.lit(0))
+    return runs.withColumns({
+        "rank_val": F.row_number().over(whole.orderBy(F.desc("val_pr"), "run")),
+        "rank_gap": F.row_number().over(whole.orderBy("gap", "run")),
+    })
+
+
 def seeds_and_arms(arms: dict[str, DataFrame], test: DataFrame, label: str, dimension: int, seeds: Sequence[int], **config) -> DataFrame:
     """Train every arm with every seed; one row of test metrics each."""
     rows = []
-    test = compact(test)
+    test = held(test)
     for arm, train in arms.items():
-        train = compact(train)
+        train = held(train)
         for seed in seeds:
             model = feed_forward(label, dimension, seed=seed, **config).fit(train)
             rows.append({"arm": arm, "seed": seed, **evaluate(score(model, test), label)})
+        train.unpersist()
+    test.unpersist()
     return test.sparkSession.createDataFrame(rows)

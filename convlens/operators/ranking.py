@@ -28,15 +28,30 @@ def hash_bucket(key: Column) -> Column:
     return F.conv(F.substring(key, 1, HASH_DIGITS), 16, 10).cast("int")
 
 
-def score_bucket(prob: Column, per_unit: int = 64) -> Column:
-    """Order-keeping bucket of a probability, finer towards 0 and 1 (log-odds scale)."""
-    odds = F.ln(prob / (1 - prob)) * per_unit
-    return (
-        F.when(prob <= 0, F.lit(-(1 << 20)))
-        .when(prob >= 1, F.lit(1 << 20))
-        .otherwise(F.floor(odds))
-        .cast("int")
-    )
+def limits_bucket(value: Column, limits: Sequence[float]) -> Column:
+    """How many of the ascending limits lie at or below a value: a tree of comparisons, null below all."""
+    if not limits:
+        return F.lit(0)
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value >= F.lit(limits[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, len(limits))
+
+
+def quantile_bucket(df: DataFrame, column: str, buckets: int = 128) -> Column:
+    """Order-keeping bucket of a numeric column between limits taken from its own quantiles.
+
+    Each bucket holds about the same share of rows however the values lie, but a
+    value that fills several buckets fills one: count equal values first where
+    they may be many. Only the limits reach the driver.
+    """
+    share = [i / buckets for i in range(1, buckets)]
+    found = df.agg(F.percentile_approx(F.col(column).cast("double"), share, buckets * 40)).first()[0]
+    return limits_bucket(F.col(column).cast("double"), sorted({x for x in found or [] if x == x}))
 
 
 def value_range(df: DataFrame, column: str) -> tuple[float, float]:
@@ -45,13 +60,6 @@ def value_range(df: DataFrame, column: str) -> tuple[float, float]:
     return (0.0, 0.0) if lo is None else (lo, hi)
 
 
-def width_bucket(df: DataFrame, column: str, buckets: int = 4096) -> Column:
-    """Order-keeping equal-width bucket of a numeric column over its own range."""
-    lo, hi = value_range(df, column)
-    width = (hi - lo) / buckets or 1.0
-    return F.floor((F.col(column).cast("double") - F.lit(lo)) / F.lit(width)).cast("int")
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on keys that may be null, keeping the left side's keys once."""
     right = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -120,7 +128,7 @@ def parts_by_hash(
     by: Sequence[str] = (),
     seed=K.SEED,
     name: str = "part",
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Cut each group, in seeded random order, at exact cumulative sizes.
 
@@ -181,7 +189,7 @@ def lowest_by_hash(
     id_col: str,
     by: Sequence[str] = (),
     seed=K.SEED,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exactly `quota` rows per group: those lowest in seeded random order.
 
@@ -203,7 +211,7 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[s
     known = df.filter(F.col(column).isNotNull())
     counts = known.groupBy(*by, column).agg(F.count("*").alias("_n"))
     cum = running_totals(
-        counts, [column], width_bucket(known, column), {"_cum": F.col("_n")}, by, {"_cum": "_total"}
+        counts, [column], quantile_bucket(counts, column), {"_cum": F.col("_n")}, by, {"_cum": "_total"}
     )
     start = F.col("_cum") - F.col("_n")
     picks = []

@@ -21,11 +21,20 @@ def shuffled(df: DataFrame, id_col: str, seed=K.SEED, name: str = "position") ->
     return ranking.hash_ranks(df, id_col, seed=seed, name=name)
 
 
-def sample_balanced(df: DataFrame, n: int | Column, label: str, id_col: str, first=1, seed=K.SEED) -> DataFrame:
-    """n rows, half of each of two classes; the first class gets the odd row."""
+def sample_balanced(df: DataFrame, n: int | Column, label: str, id_col: str, first=1, seed=K.SEED,
+                    complete: bool = True) -> DataFrame:
+    """n rows, half of each of two classes; the first class gets the odd row.
+
+    A class that is short raises; without `complete` it gives all its rows.
+    """
     total = n if isinstance(n, Column) else F.lit(n)
     half = F.floor(total / 2)
     quota = F.when(F.col(label) == first, half + total % 2).otherwise(half)
+    if complete:
+        sizes = df.groupBy(label).agg(F.count("*").alias("n")).withColumn("needed", quota)
+        found = sizes.agg(F.count_if(F.col("n") < F.col("needed")).alias("short"), F.count("*").alias("classes")).first()
+        if found.short or found.classes < 2:
+            raise ValueError(f"a class of {label} has fewer rows than its half of the sample")
     return ranking.lowest_by_hash(df, quota, id_col, [label], seed)
 
 
@@ -106,7 +115,7 @@ def learning_curve(df: DataFrame, label: str, id_col: str, sizes: Sequence[int],
 
 def assign_ids(df: DataFrame, order: str, name: str = "conversation_id", offset: Column | int = 0) -> DataFrame:
     """Add dense ids 0, 1, ... in the order of a unique numeric key, moved by the offset."""
-    ranked = ranking.running_totals(df, [order], ranking.width_bucket(df, order), {name: F.lit(1).cast("bigint")})
+    ranked = ranking.running_totals(df, [order], ranking.quantile_bucket(df, order), {name: F.lit(1).cast("bigint")})
     start = offset if isinstance(offset, Column) else F.lit(offset)
     return ranked.withColumn(name, F.col(name) - 1 + start)
 

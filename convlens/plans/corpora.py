@@ -62,7 +62,7 @@ def moderated(chats: DataFrame, min_turns: int, language: str = "English") -> Da
 
 
 def multi_turn(chats: DataFrame, dictionary: DataFrame, sample_size: int = 2000, min_turns: int = 3,
-               max_words: int = K.MAX_WORDS, seed: int = K.SEED, stage: Stage = session.stage) -> DataFrame:
+               max_words: int = K.MAX_WORDS, seed: int = K.SEED, stage: Stage = session.stage, complete: bool = True) -> DataFrame:
     """Balanced test table of long chats: (conversation_id, conversation, conversation_proc, n_words, harm, flagged_categories).
 
     Length is measured after names are replaced. Candidates are found on all
@@ -73,7 +73,7 @@ def multi_turn(chats: DataFrame, dictionary: DataFrame, sample_size: int = 2000,
     named = names.replace_in_conversations(kept, "conversation_id", "conversation", dictionary, F.col("redacted"), seed)
     sized = named.withColumn("n_words", C.n_words(F.col("conversation"))).filter(F.col("n_words") < max_words)
     candidates = stage(sized.select("conversation_id", "harm"))
-    chosen = sampling.sample_balanced(candidates, sample_size, "harm", "conversation_id", seed=seed)
+    chosen = sampling.sample_balanced(candidates, sample_size, "harm", "conversation_id", seed=seed, complete=complete)
     rows = sized.join(chosen.select("conversation_id"), "conversation_id", "left_semi")
     return rows.withColumn("c", F.col("conversation")).withColumns(flat_columns(F.col("c"))).select(
         "conversation_id", "conversation", "conversation_proc", "n_words", "harm", "flagged_categories"
@@ -105,7 +105,7 @@ def _prepared(df: DataFrame, conversation: str) -> DataFrame:
 
 
 def two_corpora(multi: DataFrame, single_train: DataFrame, single_test: DataFrame, seed: int = K.SEED,
-                stage: Stage = session.stage) -> DataFrame:
+                stage: Stage = session.stage, complete: bool = True) -> DataFrame:
     """Splits of a multi-turn corpus, and single-turn splits of the same sizes.
 
     Inputs have conversation_id, conversation (nested) and harm. The single-turn
@@ -118,9 +118,9 @@ def two_corpora(multi: DataFrame, single_train: DataFrame, single_test: DataFram
     sizes = splits.agg(
         F.count_if(F.col("split") != "test").alias("fit"), F.count_if(F.col("split") == "test").alias("test")
     ).select(F.struct("fit", "test")).scalar()
-    fit = sampling.sample_balanced(narrow["train"], sizes["fit"], "harm", "conversation_id", seed=seed)
+    fit = sampling.sample_balanced(narrow["train"], sizes["fit"], "harm", "conversation_id", seed=seed, complete=complete)
     fit = sampling.stratified_split(stage(fit), "harm", "conversation_id", 0.25, seed=seed)
-    test = sampling.sample_balanced(narrow["test"], sizes["test"], "harm", "conversation_id", seed=seed)
+    test = sampling.sample_balanced(narrow["test"], sizes["test"], "harm", "conversation_id", seed=seed, complete=complete)
 
     def wide(name: str, chosen: DataFrame, corpus: str) -> DataFrame:
         rows = ready[name].join(chosen.select("conversation_id", "split"), "conversation_id")
@@ -138,7 +138,7 @@ def error_analysis(table: DataFrame, meta: DataFrame, columns: Sequence[str] = (
     """
     model = models.fit_text_model(table.filter("split = 'train'"), "conversation_proc", "harm", strength, min_df=min_df)
     scored = models.score(model, table.filter("split <> 'train'"))
-    full = joins.attach(scored, meta, "conversation_id", columns, complete=False)
+    full = joins.attach(scored, meta, "conversation_id", columns)
     full = full.withColumns(
         {"correct": B.correct(F.col("pred"), F.col("harm")), "error_type": B.error_type(F.col("harm"), F.col("pred"))}
     ).persist()
@@ -148,5 +148,6 @@ def error_analysis(table: DataFrame, meta: DataFrame, columns: Sequence[str] = (
         "by_group": metrics.group_accuracy(full, ["adversarial", "harm"]),
         "by_subcategory": metrics.subgroup_metrics(full, "harm", "pred", "prob", "subcategory"),
         "misses": metrics.miss_rates(full, "harm", "pred", "subcategory"),
+        "false_alarms": metrics.false_alarm_rates(full, "harm", "pred", "subcategory"),
         "calibration": metrics.calibration(full, "harm", "pred", "prob"),
     }

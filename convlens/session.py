@@ -24,6 +24,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .appName("convlens")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
+        .config("spark.convlens.textTasks", "8" if cores == "*" else cores)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -62,4 +63,19 @@ def stage(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/convlens-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_staged: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table staged so far, once the results that read them have been written; gives their number."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_staged)
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

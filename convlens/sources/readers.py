@@ -16,27 +16,29 @@ __all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names"
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, ordered: bool = False) -> DataFrame:
-    """One or many Parquet files. With `ordered`, (file_name, row_index) gives the order of rows."""
+    """One or many Parquet files. With `ordered`, (file_name, row_index) gives the order of rows; the name is the full path."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(*([path] if isinstance(path, str) else path))
     if not ordered:
         return df
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
+    return df.select("*", F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small file out to all cores before work on their texts.
+    """Deal the rows of a table out to as many tasks as the session asks for, before work on their texts.
 
-    A file of one row group is read by one task. A table that already fills
-    the cluster is left as it is.
+    A file of one row group is read by one task. A local session over small
+    files sets `spark.convlens.textTasks`; where it is unset, as on a cluster
+    with large files, no row moves, whatever the table's size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get("spark.convlens.textTasks", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with a header; cells may hold quotes and line breaks."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, columns: Sequence[str] | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header; cells may hold quotes, and line breaks with `multi_line`, which reads a file in one task."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     df = (reader if schema is None else reader.schema(schema)).csv(path)
     return df.select(*columns) if columns else df
 
@@ -49,7 +51,7 @@ def read_json_lines(spark: SparkSession, path: str | Sequence[str], schema: Stru
 
 def read_names(spark: SparkSession, path: str, schema: StructType, since: int = K.FIRST_NAME_YEAR) -> DataFrame:
     """Name counts from a given year on."""
-    return read_csv(spark, path, schema).filter(F.col("Year") >= since)
+    return read_csv(spark, path, schema, multi_line=False).filter(F.col("Year") >= since)
 
 
 def read_embeddings(spark: SparkSession, path: str, encoder: str | None = None) -> DataFrame:
@@ -74,12 +76,15 @@ def _stages(min_turns: int, language: str):
 
 
 def clean_dialogues(df: DataFrame, min_turns: int = 3, language: str = "English", target: int | None = None) -> DataFrame:
-    """English, long enough, unflagged, unredacted conversations; at most `target` of them if given."""
+    """English, long enough, unflagged, unredacted conversations.
+
+    With `target`, the scan's early stop: the first `target` of them by id, on any partitioning.
+    """
     kept = df.filter(_stages(min_turns, language)["clean"]).select(
         "conversation_id", "model", "language", "turn",
         C.n_user_turns(F.col("conversation")).alias("n_user_turns"), "conversation",
     )
-    return kept if target is None else kept.limit(target)
+    return kept if target is None else kept.orderBy("conversation_id").limit(target)
 
 
 def filter_funnel(df: DataFrame, min_turns: int = 3, language: str = "English", target: int | None = None) -> DataFrame:

@@ -252,3 +252,56 @@ def test_embed_with_encoder(spark):
     assert {r.id: r.embedding[0] for r in out} == {i: float(i) for i in range(70)}
     pooled = embeddings.masked_mean(np.array([[[1.0], [3.0], [9.0]]]), np.array([[1, 1, 0]]))
     assert pooled.tolist() == [[2.0]]
+
+
+def bucket_sizes(df, column):
+    return [r["count"] for r in df.groupBy(ranking.quantile_bucket(df, column).alias("b")).count().collect()]
+
+
+def test_buckets_of_skewed_values(spark):
+    ids = spark.range(20_000).withColumn("v", F.col("id").cast("double"))
+    with_outlier = ids.unionByName(spark.createDataFrame([(20_000, 1e15)], "id bigint, v double"))
+    assert max(bucket_sizes(with_outlier, "v")) < 20_000 * 0.03
+    narrow = ids.withColumn("v", 0.49 + 0.02 * F.col("id") / 20_000)
+    assert max(bucket_sizes(narrow, "v")) < 20_000 * 0.03
+    ordered = narrow.withColumn("b", ranking.quantile_bucket(narrow, "v")).groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = sorted(ordered.collect())
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+    assert ids.filter("false").withColumn("b", ranking.quantile_bucket(ids.filter("false"), "v")).count() == 0
+    ranked = sampling.assign_ids(with_outlier.withColumn("v", F.col("v").cast("bigint")), "v").filter("v > 1e14").first()
+    assert ranked.conversation_id == 20_000
+
+
+def test_short_class_raises(spark):
+    df = spark.range(100).withColumn("harm", (F.col("id") < 3).cast("int"))
+    with pytest.raises(ValueError):
+        sampling.sample_balanced(df, 20, "harm", "id")
+    assert sampling.sample_balanced(df, 20, "harm", "id", complete=False).count() == 13
+    with pytest.raises(ValueError):
+        sampling.sample_balanced(df.filter("harm = 0"), 20, "harm", "id")
+
+
+def test_attach_refuses_repeated_metadata(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    meta = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id int, harm string")
+    with pytest.raises(ValueError):
+        joins.attach(rows, meta, "id", ["harm"])
+    assert joins.attach(rows, meta.filter("harm <> 'c'"), "id", ["harm"]).count() == 2
+
+
+def test_false_alarms_by_group(spark):
+    rows = [("a", 0, 1), ("a", 0, 0), ("a", 1, 0), ("b", 0, 1), ("c", 1, 1)]
+    found = metrics.false_alarm_rates(spark.createDataFrame(rows, "g string, y int, p int"), "y", "p", "g").collect()
+    assert [tuple(r) for r in found] == [("b", 1, 1, 1.0), ("a", 1, 2, 0.5)]
+
+
+def test_staged_tables_are_released(spark):
+    from pathlib import Path
+
+    from convlens import session
+
+    staged = session.stage(spark.range(3).toDF("x"))
+    folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists() and staged.count() == 3
+    assert session.release(spark) >= 1
+    assert not folder.exists()
