@@ -24,12 +24,18 @@ from convlens.session import checkpoint_dir
 
 #: A block ends with the document that brings it to this many ids.
 BLOCK_IDS = 1 << 16
-#: Chunks of text remembered by one Python worker before it starts afresh.
-MEMORY = 400_000
+#: Chunks of text, and pieces of them, remembered by one Python worker before it starts afresh.
+MEMORY, PIECE_MEMORY = 300_000, 800_000
+#: Documents encoded together.
+TOGETHER = 64
 #: ASCII marks that may end a word. An apostrophe may begin a suffix, angle brackets and bars a special token.
 MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
+#: Widths of whole bytes that numpy knows: the same layout in one step.
+WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
+
+
 def width_of(vocabulary: int) -> int:
     """Fewest bits that hold every id of a vocabulary."""
     return max(1, (vocabulary - 1).bit_length())
@@ -37,6 +43,8 @@ def width_of(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids as consecutive little-endian bit fields."""
+    if width in WHOLE:
+        return ids.astype(WHOLE[width]).tobytes()
     bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(bits[:, :width], bitorder="little").tobytes()
 
@@ -44,6 +52,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 def unpack(packed: bytes, width: int, start: int, n: int) -> np.ndarray:
     """`n` ids from place `start` on, without reading the ones before."""
     first = start * width
+    if width in WHOLE:
+        return np.frombuffer(packed, WHOLE[width], n, first >> 3).astype(np.uint32)
     raw = np.frombuffer(packed, np.uint8, offset=first >> 3)[: ((n * width + (first & 7) + 7) >> 3)]
     raw = np.concatenate([raw, np.zeros(8, np.uint8)])
     at = np.arange(n, dtype=np.int64) * width + (first & 7)
@@ -73,34 +83,60 @@ class ChunkEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
-
-    def _piece(self, piece: bytes) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            got = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-            ids = self.pieces[piece] = np.array(got, "<u4").tobytes()
-        return ids
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        core = chunk.rstrip(MARKS)
-        if core.isalpha():  # ASCII letters only
-            ids = self._piece(core.lower())
-        elif core and core.decode()[-1].isalpha():
-            ids = self._piece(core)
-        else:
-            core, ids = chunk, self._piece(chunk)
-        if len(core) < len(chunk):
-            ids += self._piece(chunk[len(core) :])
-        self.chunks[chunk] = ids
-        return ids
-
-    def __call__(self, text: str | None) -> np.ndarray:
+        closing = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.closes = np.zeros(self.vocabulary, bool)
+        self.closes[closing] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn_pieces(self, pieces: set[bytes]) -> None:
+        """Words of letters are encoded many at a time: the ids that close a word part them."""
+        words = [w for w in pieces if w.decode().isalpha()]
+        for start in range(0, len(words), 1000):
+            part = words[start : start + 1000]
+            ids = self._encode(b" ".join(part).decode())
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw, cuts = ids.tobytes(), (4 * ends).tolist()
+                self.pieces.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+        for piece in pieces:
+            if piece not in self.pieces:
+                self.pieces[piece] = self._encode(piece.decode()).tobytes()
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        parts = []
+        for chunk in chunks:
+            core = chunk.rstrip(MARKS)
+            if core.isalpha():  # ASCII letters only
+                parts.append((chunk, core.lower(), chunk[len(core) :]))
+            elif core and core.decode()[-1].isalpha():
+                parts.append((chunk, core, chunk[len(core) :]))
+            else:
+                parts.append((chunk, chunk, b""))
+        known = self.pieces
+        if len(known) > PIECE_MEMORY:
+            known.clear()
+        needed = {p for _, core, tail in parts for p in (core, tail) if p}
+        self._learn_pieces({p for p in needed if p not in known})
+        self.chunks.update((chunk, known[core] + known[tail] if tail else known[core]) for chunk, core, tail in parts)
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
         if len(self.chunks) > MEMORY:
             self.chunks.clear()
-        if len(self.pieces) > MEMORY:
-            self.pieces.clear()
-        known, missing = self.chunks, self._chunk
-        return np.frombuffer(b"".join([known.get(c) or missing(c) for c in (text or "").encode().split()]), "<u4")
+        known = self.chunks
+        split = [(t or "").encode().split() for t in texts]
+        found = [list(map(known.get, s)) for s in split]
+        lacking = [i for i, f in enumerate(found) if None in f]
+        if lacking:
+            self._learn({c for i in lacking for c, ids in zip(split[i], found[i]) if ids is None})
+            for i in lacking:
+                found[i] = map(known.__getitem__, split[i])
+        return [np.frombuffer(b"".join(f), "<u4") for f in found]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.many([text])[0]
 
 
 @lru_cache(maxsize=1)
@@ -155,14 +191,16 @@ def write_blocks(
                 ("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("width", pa.int32()), ("n_ids", pa.int64()),
                 ("docs", pa.list_(batch.schema.field("_id").type)), ("starts", pa.list_(pa.int64())), ("packed", pa.binary()),
             ])
-            for doc, content in zip(batch.column("_id"), batch.column("_text")):
-                held.append(doc.as_py())
-                starts.append(total)
-                ids += [encoder_of(content.as_py()), end]
-                total += len(ids[-2]) + len(end)
-                if total >= block_ids:
-                    yield row()
-                    block, first, held, ids, starts, total = block + 1, first + total, [], [], [], 0
+            for at in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(at, TOGETHER)
+                for doc, own in zip(some.column("_id").to_pylist(), encoder_of.many(some.column("_text").to_pylist())):
+                    held.append(doc)
+                    starts.append(total)
+                    ids += [own, end]
+                    total += len(own) + len(end)
+                    if total >= block_ids:
+                        yield row()
+                        block, first, held, ids, starts, total = block + 1, first + total, [], [], [], 0
         if held:
             yield row()
 
