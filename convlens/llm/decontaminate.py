@@ -265,4 +265,6 @@ def with_hits(
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    return with_hits(docs, items, name="_hits", **options).filter(F.size("_hits") == 0).drop("_hits")
+    text = options.pop("text", "text")
+    packed = docs.select(F.struct("*").alias("_doc"), F.col(text).alias("_text"))
+    return with_hits(packed, items, text="_text", **options).filter(F.size("hits") == 0).select("_doc.*")

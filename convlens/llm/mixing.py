@@ -132,12 +132,13 @@ def with_copies(
 ) -> DataFrame:
     """Add `n_tokens` (words), the source's `weight`, and `copies`: how often the mixture uses the document.
 
-    Null sources are one source. Empty texts take no tokens and follow their
+    Columns of those names are replaced. Null sources are one source. Empty texts take no tokens and follow their
     place. Rows that repeat an id share a place and are taken together. The
     partial pass never exceeds its tokens. An empty table stays empty. Only
     (source, place, tokens) move; the plan has one row per source.
     """
     named = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
+    docs = docs.drop("n_tokens", "weight", "copies")
     marked = docs.withColumns({"_source": named, "n_tokens": n_words(text), "_place": place(id_col, seed)})
     narrow = stage(marked.select("_source", "_place", F.col("n_tokens").alias("_tokens")))
     sources = stage(plan(narrow, target_entropy, max_repetition, budget))
@@ -151,6 +152,9 @@ def with_copies(
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: each document as often as its copies say, with its own columns only."""
-    drawn = with_copies(docs, **options)
-    each = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return drawn.withColumn("_copy", each).select(*docs.columns)
+    names = {"id_col": "doc_id", "text": "text", "source": "source"}
+    names |= {k: options.pop(k) for k in list(options) if k in names}
+    packed = docs.select(F.struct("*").alias("_doc"), *[F.col(name).alias(k) for k, name in names.items()])
+    drawn = with_copies(packed, id_col="id_col", **options)
+    each = F.explode(F.array_repeat(F.col("_doc"), F.col("copies").cast("int")))
+    return drawn.select(each.alias("_doc")).select("_doc.*")

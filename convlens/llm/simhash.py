@@ -221,5 +221,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     """
     found = groups(docs.select(id_col, text), id_col, text, shingle, max_bits)
     keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
-    named = docs.join(keep, F.col(id_col) == F.col("_keep")).drop("_keep").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    packed = docs.select(F.col(id_col).alias("_id"), F.struct("*").alias("_doc"))
+    named = packed.join(keep, F.col("_id") == F.col("_keep")).dropDuplicates(["_id"])
+    return named.select("_doc.*").unionByName(docs.filter(F.col(id_col).isNull()))

@@ -239,6 +239,13 @@ def judge(
     return score(docs, chain, text).withColumn("rejected", reached)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that `judge` does not reject, with their own columns only, whatever these are called."""
+    packed = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    known = labels.withColumnRenamed(id_col, "doc_id")
+    return judge(packed, known, **options).filter("NOT rejected").select("_doc.*")
+
+
 def score(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_") -> DataFrame:
     """Add the probability of each category. Null and empty texts have no features."""
     held: dict[str, Finder] = {}
