@@ -13,8 +13,7 @@ from convlens.session import checkpoint_dir
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
-    judged = toxicity.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.filter("NOT rejected").select(*docs.columns)
+    return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
