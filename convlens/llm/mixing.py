@@ -156,5 +156,5 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     names |= {k: options.pop(k) for k in list(options) if k in names}
     packed = docs.select(F.struct("*").alias("_doc"), *[F.col(name).alias(k) for k, name in names.items()])
     drawn = with_copies(packed, id_col="id_col", **options)
-    each = F.explode(F.array_repeat(F.col("_doc"), F.col("copies").cast("int")))
-    return drawn.select(each.alias("_doc")).select("_doc.*")
+    each = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return drawn.select("_doc", each).select("_doc.*")
