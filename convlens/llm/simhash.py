@@ -26,6 +26,10 @@ PIECE = 1 << 16
 #: Members of one variant compared directly. Larger variants are cut anew by
 #: further segments until the bits that are left free bound their size.
 DIRECT = 2048
+#: Further cuts of a large variant.
+LEVELS = 2
+#: Where a variant holds its segment's number, and the largest number.
+NUMBER_AT, NUMBERS = 38, (1 << 12) - 1
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -69,29 +73,38 @@ def _spans(start: int, width: int, parts: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def _variants(fp: Column, spans: list[tuple[int, int]]) -> Column:
-    """All one-wildcard variants of the segments: tag of (segment, wildcard) above the masked bits."""
+def _variants(fp: Column, spans: list[tuple[int, int]], own: int = 0) -> Column:
+    """All one-wildcard variants of the segments: the segment's number, from `own` on, and the wildcard above the masked bits."""
     keys = []
-    for first, width in spans:
+    for i, (first, width) in enumerate(spans):
         value = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
         for p in range(width):
-            tag = (first + p) << 32
+            tag = (own + i) << NUMBER_AT | p << 32
             keys.append(value.bitwiseAND(F.lit(~(1 << p)).cast("bigint")) + F.lit(tag).cast("bigint"))
     return F.array(*keys)
 
 
+def _number(variant: Column) -> Column:
+    return F.shiftrightunsigned(variant, NUMBER_AT).bitwiseAND(F.lit(NUMBERS).cast("bigint"))
+
+
+def _rest(spans: list[tuple[int, int]], parts: int) -> list[list[tuple[int, int]]]:
+    """For each segment, what is left to cut inside its variants: all other segments, each in equal parts."""
+    return [[s for j, (f, w) in enumerate(spans) if j != i for s in _spans(f, w, parts)] for i in range(len(spans))]
+
+
 def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
     return np.bitwise_count(a ^ b) <= max_bits
 
 
 def _forest(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the components of a few fingerprints: each to its component's smallest place."""
-    near = np.empty((len(members), len(members)), bool)
-    for i, m in enumerate(members):
-        near[i] = _near(members, m, max_bits)
     label = np.arange(len(members))
     while True:
-        low = np.where(near, label[None, :], len(members)).min(axis=1)
+        low = np.empty_like(label)
+        for at in range(0, len(members), DIRECT):  # a block of rows at a time
+            near = _near(members[at : at + DIRECT, None], members[None, :], max_bits)
+            low[at : at + DIRECT] = np.where(near, label[None, :], len(members)).min(axis=1)
         low = low[low]
         if (low == label).all():
             break
@@ -162,31 +175,35 @@ def links(fps: DataFrame, max_bits: int = 3, direct: int = DIRECT) -> DataFrame:
 
     `fps` has one column `fp` of distinct longs. A variant shared by more than
     `direct` fingerprints is cut again, by one-wildcard variants of its other
-    segments; after the last cut its free bits bound it, so no group is dropped,
-    and none is compared in squares beyond that bound.
+    segments: they too differ in few enough bits for one part to match. Each cut
+    fixes bits that were free before, and after the last one (for `max_bits` of
+    2 or 3, eleven free bits: at most 2,048 fingerprints) the rest is compared. No group is
+    dropped.
     """
     parts = max(2, max_bits // 2 + 1)
-    spans = _spans(0, 64, parts)
-    rows = fps.select("fp", F.explode(_variants(F.col("fp"), spans)).alias("variant"))
+    segments = [_spans(0, 64, parts)]
+    rows = fps.select("fp", F.explode(_variants(F.col("fp"), segments[0])).alias("variant"))
     found, level = [], 0
     while True:
-        task = _links(max_bits, direct if level < 2 else 1 << 62)
+        task = _links(max_bits, direct if level < LEVELS else 1 << 62)
         table = stage(
             rows.repartition("variant").sortWithinPartitions("variant").mapInArrow(task, "variant bigint, a bigint, b bigint")
         )
         found.append(table.filter("b IS NOT NULL").select("a", "b"))
         over = table.filter("b IS NULL").select("variant", F.col("a").alias("fp"))
-        if level == 2 or over.isEmpty():
+        if level == LEVELS or over.isEmpty():
             break
         level += 1
-        # Segments wholly outside the variant's own, cut in two at the first new level, in four at the next.
-        own = F.shiftright("variant", 32).bitwiseAND(F.lit(63))
-        finer = F.lit(None).cast("array<bigint>")
-        for first, width in spans:
-            others = [s for f, w in spans if f != first for s in _spans(f, w, parts * level)]
-            finer = F.when((own >= first) & (own < first + width), _variants(F.col("fp"), others)).otherwise(finer)
+        segments = [rest for spans in segments for rest in _rest(spans, parts)]
+        finer, own = F.lit(None).cast("array<bigint>"), 0
+        for number, spans in enumerate(segments):
+            finer = F.when(_number(F.col("variant")) == number, _variants(F.col("fp"), spans, own)).otherwise(finer)
+            own += len(spans)
         cut = over.select("fp", "variant", F.explode(finer).alias("_v"))
-        rows = cut.select("fp", F.xxhash64("variant", "_v").alias("variant"))
+        # The hash of both keys, with the number of the segment in its place.
+        mask = F.lit(NUMBERS << NUMBER_AT).cast("bigint")
+        mixed = F.xxhash64("variant", "_v").bitwiseAND(F.bitwise_not(mask)).bitwiseOR(F.col("_v").bitwiseAND(mask))
+        rows = cut.select("fp", mixed.alias("variant"))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
