@@ -148,15 +148,14 @@ def thresholds(rows: DataFrame, reach: float, min_docs: int) -> DataFrame:
     """One row of fences for each (language, source), from the finest sketch with `min_docs` documents."""
     fine = stage(sketch(rows, ["_lang", "_source"]))
     middle = merged(fine, ["_lang"])
-    own, lang, whole = fences(fine, ["_lang", "_source"], reach), fences(middle, ["_lang"], reach), None
-    every = fences(merged(middle, []).withColumn("_one", F.lit(1)), ["_one"], reach)
+    own, lang = fences(fine, ["_lang", "_source"], reach), fences(middle, ["_lang"], reach)
     columns = [c for c in own.columns if c.startswith(("low_", "high_"))]
-    tag = lambda df, t: df.select(*[F.col(c).alias(f"{t}{c}") for c in df.columns])
-    lang, whole = tag(lang, "l_"), tag(every, "w_")
-    both = own.join(lang, F.col("_lang") == F.col("l__lang")).join(whole, F.col("w__one") == F.lit(1))
+    whole = fences(merged(middle, []).withColumn("_one", F.lit(1)), ["_one"], reach).first()  # one row of numbers
+    lang = lang.select(*[F.col(c).alias(f"l_{c}") for c in lang.columns])
+    both = own.join(lang, F.col("_lang") == F.col("l__lang"))
     pick = lambda c: F.when(F.col("docs") >= min_docs, F.col(c)).when(
         F.col("l_docs") >= min_docs, F.col(f"l_{c}")
-    ).otherwise(F.col(f"w_{c}"))
+    ).otherwise(F.lit(whole[c] if whole else None).cast("double"))
     return both.select(F.col("_lang").alias("t_lang"), F.col("_source").alias("t_source"), *[pick(c).alias(c) for c in columns])
 
 
