@@ -96,6 +96,20 @@ def _with_rates(rows: DataFrame, rates: dict[str, DataFrame], prior: float) -> D
     return rows
 
 
+def _margin(trees, names: Sequence[str]) -> Column:
+    """The sum of the fitted trees as one expression over the columns of the features: above 0 means bad."""
+
+    def of_node(node) -> Column:
+        if node.subtreeDepth() == 0:
+            return F.lit(node.prediction())
+        split = node.split()
+        left = F.col(names[split.featureIndex()]) <= F.lit(split.threshold())
+        return F.when(left, of_node(node.leftChild())).otherwise(of_node(node.rightChild()))
+
+    parts = [of_node(t._call_java("rootNode")) * F.lit(float(w)) for t, w in zip(trees.trees, trees.treeWeights)]
+    return sum(parts[1:], parts[0])
+
+
 def judge(
     pages: DataFrame,
     labelled: DataFrame,
@@ -135,8 +149,8 @@ def judge(
         featuresCol="_features", labelCol="_bad", predictionCol="_bad_guess", maxIter=rounds, maxDepth=depth, seed=7,
     ).fit(pack.transform(_with_rates(train, rates, prior)).select("_features", "_bad"))
     ready = ruled.withColumns(lexical(u, F.col("host"), F.col("path")))
-    judged = trees.transform(pack.transform(_with_rates(ready, rates, prior)))
-    own = F.when(F.col("_bad_guess") == 1.0, F.lit("block")).otherwise(F.lit("allow"))
+    judged = _with_rates(ready, rates, prior)
+    own = F.when(_margin(trees, LEXICAL) > 0, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(*kept, F.coalesce(F.col("_rule.verdict"), own).alias("verdict"))
 
 

@@ -242,6 +242,22 @@ def test_urls(spark):
     assert urls.judge(df.filter("false"), labelled, RULES).count() == 0
 
 
+def test_tree_expression_gives_the_fitted_model(spark):
+    """Boosted trees written as a column expression decide as the model itself does."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = random.Random(4)
+    names = ["u", "v", "w"]
+    rows = [[rng.random() for _ in names] for _ in range(400)]
+    table = spark.createDataFrame([(*r, float(r[0] + r[1] * r[2] + rng.random() / 4 > 0.9)) for r in rows], "u double, v double, w double, y double")
+    packed = VectorAssembler(inputCols=names, outputCol="f").transform(table)
+    model = GBTClassifier(featuresCol="f", labelCol="y", predictionCol="guess", maxIter=5, maxDepth=3, seed=7).fit(packed)
+    both = model.transform(packed).select("guess", (urls._margin(model, names) > 0).cast("double").alias("own")).collect()
+    assert {r.guess for r in both} == {0.0, 1.0}
+    assert all(r.guess == r.own for r in both)
+
+
 def test_lexical_features(spark):
     df = spark.createDataFrame([("http://a-b.x.com/p/q1?k=1&l=2#f",), ("",), (None,)], "url string")
     u = F.col("url")
