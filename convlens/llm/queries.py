@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import chat, decontaminate, licenses, mixing, packing, quality, simhash, token_counts, toxicity, urls
+from convlens.llm import (
+    centroids, chat, decontaminate, fingerprints, licenses, mixing, packing, prefix_trie, quality, simhash, token_counts, toxicity, urls,
+)
 from convlens.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +236,93 @@ FROM sized GROUP BY conv_id
 
 
 SQL["op4_chat_formatting"] = _chat_sql()
+
+
+@query
+def op11_conversation_prefix_trie(spark, folder):
+    marked = stage(prefix_trie.marks(table(spark, folder, "conversations")))
+    source = F.col("id") - F.col("id") % 5
+    head = F.crc32(F.col("id").cast("string").cast("binary")) % 9
+    rebuilt, ids = prefix_trie.spliced(marked, source, head, longest=8)
+    return prefix_trie.trie(rebuilt, ids)
+
+
+# Prefixes as whole strings of digests; every node meets all nodes below it. The checksum bit by bit.
+SQL["op11_conversation_prefix_trie"] = """
+WITH marked AS (
+  SELECT conv_id AS id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS place, mark, size
+  FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+               CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS size
+        FROM conversations WHERE conv_id IS NOT NULL)),
+talks AS (
+  SELECT id, id - id % 5 AS source, turns,
+         xor(list_reduce(
+           [CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+         ), 4294967295) % 9 AS head
+  FROM (SELECT id, count(*) AS turns FROM marked GROUP BY id)),
+plan AS (SELECT t.*, least(t.head, coalesce(s.turns, 0)) AS taken FROM talks t LEFT JOIN talks s ON s.id = t.source),
+rebuilt AS (
+  SELECT p.id, m.place, mark, size FROM plan p JOIN marked m ON m.id = p.source AND m.place <= p.taken
+  UNION ALL SELECT p.id, m.place - head + taken, mark, size FROM plan p JOIN marked m ON m.id = p.id AND m.place > head),
+prefixes AS (
+  SELECT id, place AS depth, md5(string_agg(mark, '') OVER (PARTITION BY id ORDER BY place)) AS k, size,
+         place = max(place) OVER (PARTITION BY id) AS last
+  FROM rebuilt
+  UNION ALL SELECT id, 0, '', 0, NOT EXISTS (SELECT 1 FROM rebuilt r WHERE r.id = plan.id) FROM plan),
+nodes AS (
+  SELECT depth, k, min(id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved, bool_and(last) AS leaf,
+         sha256(coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (last), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, k),
+below AS (SELECT DISTINCT a.k AS k, a.depth AS depth, b.k AS bk, b.depth AS bdepth FROM prefixes a JOIN prefixes b ON a.id = b.id AND b.depth >= a.depth),
+totals AS (
+  SELECT w.k, w.depth, count(*) FILTER (w.bdepth = w.depth + 1) AS n_children, count(*) FILTER (n.leaf) AS n_leaves,
+         CAST(sum(n.saved) AS BIGINT) AS saved_tokens
+  FROM below w JOIN nodes n ON n.k = w.bk AND n.depth = w.bdepth GROUP BY w.k, w.depth),
+parents AS (SELECT DISTINCT w.bk AS k, w.bdepth AS depth, n.conv_id AS parent_conv_id
+            FROM below w JOIN nodes n ON n.k = w.k AND n.depth = w.depth WHERE w.bdepth = w.depth + 1)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM nodes JOIN totals USING (k, depth) LEFT JOIN parents USING (k, depth)
+"""
+
+
+@query
+def op12_centroid_clustering(spark, folder):
+    return centroids.cluster(table(spark, folder, "embeddings"), dimension=64, k=8, rounds=10, factor=1024, seed=3)
+
+
+def _cluster_sql(rounds: int = 10, k: int = 8) -> str:
+    """Every round as one more table: components as rows, distances as sums over them."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS MATERIALIZED (
+  SELECT vec, cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS away FROM parts v JOIN c{r} c USING (dim) GROUP BY vec, cluster),
+a{r} AS MATERIALIZED (SELECT vec, arg_min(cluster, away * {k} + cluster) AS cluster, min(away) AS away FROM d{r} GROUP BY vec)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT cluster, dim, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts JOIN a{r} USING (vec) GROUP BY cluster, dim),
+c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.dim, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{r} c LEFT JOIN s{r} s ON s.cluster = c.cluster AND s.dim = c.dim)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS vec, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT vec, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM kept),
+starts AS (
+  SELECT vec, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS cluster FROM kept QUALIFY cluster < {k}),
+c0 AS MATERIALIZED (SELECT cluster, dim, x FROM parts JOIN starts USING (vec)),{",".join(steps)},
+digests AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, away AS distance, CAST(sum(away) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(away) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (vec) JOIN digests USING (cluster)
+"""
+
+
+SQL["op12_centroid_clustering"] = _cluster_sql()
+
+
+@query
+def op13_document_fingerprints(spark, folder):
+    return fingerprints.versions(table(spark, folder, "documents"))
