@@ -9,7 +9,10 @@ part and place in it; parts follow the order of the documents.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -17,19 +20,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convlens.session import checkpoint_dir
+from convlens.llm import spans
+from convlens.session import checkpoint_dir, stage
 
 #: A block ends with the document that brings it to this many ids.
 BLOCK_IDS = 1 << 16
-#: Chunks of text, and pieces of them, remembered by one Python worker before it starts afresh.
-MEMORY, PIECE_MEMORY = 300_000, 800_000
-#: Documents encoded together.
-TOGETHER = 64
-#: ASCII marks that may end a word. An apostrophe may begin a suffix, angle brackets and bars a special token.
-MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: Pieces remembered by one Python worker, and the characters of the longest of them: some 50 MB.
+PIECE_MEMORY, PIECE_CHARS = 300_000, 40
+#: Documents, and characters of them, encoded together.
+TOGETHER, CHARS = 256, 1 << 19
+GAP = re.compile("[ \n]")
+NOTHING = np.empty(0, "<u4")
 
 
 #: Widths of whole bytes that numpy knows: the same layout in one step.
@@ -66,83 +71,201 @@ def unpack(packed: bytes, width: int, start: int, n: int) -> np.ndarray:
 
 # --- encoding -------------------------------------------------------------
 
+# The rules of a tokenizer file that `PieceEncoder` follows piece by piece.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+#: The last character of the blocks in which all three rules act on single characters: basic, supplement and extension A of Latin.
+PLAIN_END = "\u017f"
+#: What may follow an apostrophe that begins a piece, to form one with it.
+SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
+SPACE, LETTER, NUMBER, MARK = range(4)
+
+
+def _kinds() -> np.ndarray:
+    """Space, letter, number or mark, for each code point that lower-casing a plain text may give."""
+    kinds = np.full(0x340, MARK, np.uint8)
+    for i in range(ord(PLAIN_END) + 1):
+        kinds[i] = {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], MARK)
+    kinds[[*range(9, 14), 0x20, 0x85, 0xA0]] = SPACE
+    return kinds
+
+
+KINDS = _kinds()
+
+
+def pieces(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first places, places behind) of the pieces that `SPLIT` finds in lower-cased plain text."""
+    kind = KINDS[points]
+    before = np.concatenate([[np.uint8(SPACE)], kind[:-1]])
+    start = (kind != SPACE) & ((kind != before) | (kind == NUMBER))
+    stop = (before != SPACE) & ((kind != before) | (before == NUMBER))
+    padded = np.concatenate([points, np.zeros(3, points.dtype)])
+    for at in np.flatnonzero((points == ord("'")) & (before != MARK)).tolist():
+        for suffix in SUFFIXES:
+            if all(padded[at + 1 + i] == ord(c) for i, c in enumerate(suffix)):
+                start[at + 1] = stop[at + 1] = False
+                behind = at + 1 + len(suffix)
+                if behind < len(points):
+                    stop[behind] = True
+                    start[behind] = kind[behind] != SPACE
+                break
+    ends = np.flatnonzero(stop)
+    return np.flatnonzero(start), np.append(ends, len(points)) if len(points) and kind[-1] != SPACE else ends
+
+
+class WholeEncoder:
+    """Encodes whole texts: what any tokenizer file allows."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.vocabulary = tokenizer.get_vocab_size(with_added_tokens=True)
 
-class ChunkEncoder:
-    """Encodes texts through a tokenizer that never joins over ASCII white space.
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+        return [np.array(f.ids, "<u4") for f in found]
 
-    Each white-space separated chunk is encoded once and remembered. A chunk of a
-    word and closing marks is encoded as the two, which such a tokenizer
-    separates too. Ids are those of the whole text; tests hold them against it.
-    """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+class Memory:
+    """Ids of pieces by their hash. Bounded: the older half is given up, except for what was used since."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-        closing = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
-        self.closes = np.zeros(self.vocabulary, bool)
-        self.closes[closing] = True
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def get(self, keys: list[int]) -> list[bytes | None]:
+        found = list(map(self.young.get, keys))
+        for i, ids in enumerate(found):
+            if ids is None and (ids := self.old.get(keys[i])) is not None:
+                found[i] = self.young[keys[i]] = ids
+        return found
+
+    def put(self, new) -> None:
+        self.young.update(new)
+        if len(self.young) > self.limit // 2:
+            self.old, self.young = self.young, {}
+
+
+class PieceEncoder(WholeEncoder):
+    """Encodes plain texts piece by piece, remembering pieces; other texts as a whole.
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    For a file with the rules above. Up to `PLAIN_END` no two characters combine
+    and lower case is a matter of single characters, so normalising is
+    lower-casing and the split follows kinds of characters. A text with any
+    other character, or with what may be an added token, is encoded whole.
 
-    def _learn_pieces(self, pieces: set[bytes]) -> None:
-        """Words of letters are encoded many at a time: the ids that close a word part them."""
-        words = [w for w in pieces if w.decode().isalpha()]
-        for start in range(0, len(words), 1000):
-            part = words[start : start + 1000]
-            ids = self._encode(b" ".join(part).decode())
+    Pieces are found and hashed for many texts at once; each different one is
+    looked up once, and the ids are gathered in the order of the pieces.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        self.memory = Memory(PIECE_MEMORY)
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.other = re.compile("|".join([f"[^\0-{PLAIN_END}]", *added])).search
+        # The model alone, for pieces spelt as it wants them, with white space between.
+        spell = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(len(KINDS)) if chr(c) != " "}
+        self.model = tokenizers.Tokenizer(tokenizer.model)
+        self.model.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        self.closes = np.zeros(self.vocabulary, bool)
+        self.closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def _learn(self, some: list[str]) -> list[bytes]:
+        """Ids of pieces, encoded many at a time: the ids that close a piece part them."""
+        out = []
+        for start in range(0, len(some), 1000):
+            part = some[start : start + 1000]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part).translate(self.spelling)])[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
                 raw, cuts = ids.tobytes(), (4 * ends).tolist()
-                self.pieces.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-        for piece in pieces:
-            if piece not in self.pieces:
-                self.pieces[piece] = self._encode(piece.decode()).tobytes()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        parts = []
-        for chunk in chunks:
-            core = chunk.rstrip(MARKS)
-            if core.isalpha():  # ASCII letters only
-                parts.append((chunk, core.lower(), chunk[len(core) :]))
-            elif core and core.decode()[-1].isalpha():
-                parts.append((chunk, core, chunk[len(core) :]))
+                out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
             else:
-                parts.append((chunk, chunk, b""))
-        known = self.pieces
-        if len(known) > PIECE_MEMORY:
-            known.clear()
-        needed = {p for _, core, tail in parts for p in (core, tail) if p}
-        self._learn_pieces({p for p in needed if p not in known})
-        self.chunks.update((chunk, known[core] + known[tail] if tail else known[core]) for chunk, core, tail in parts)
-
-    def many(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if len(self.chunks) > MEMORY:
-            self.chunks.clear()
-        known = self.chunks
-        split = [(t or "").encode().split() for t in texts]
-        found = [list(map(known.get, s)) for s in split]
-        lacking = [i for i, f in enumerate(found) if None in f]
+                out += [np.array(self.model.encode(p.translate(self.spelling)).ids, "<u4").tobytes() for p in part]
+        return out
+
+    @staticmethod
+    def fits(rules: dict) -> bool:
+        """Whether a tokenizer file has the rules that pieces rely on."""
+        normalizer, split = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+        return (
+            normalizer.get("normalizers") == NORMALIZER
+            and split.get("pretokenizers") == [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, BYTES]
+            and rules.get("post_processor") is None
+            and rules.get("truncation") is None
+            and rules["model"].get("type") == "BPE"
+            and not rules["model"].get("dropout")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in rules["added_tokens"])
+        )
+
+    def _plain(self, low: list[str]) -> list[np.ndarray]:
+        """The ids of lower-cased plain texts."""
+        text = "\n".join(low)
+        points = spans.codes(text)
+        starts, stops = pieces(points)
+        if not len(starts):
+            return [np.empty(0, "<u4") for _ in low]
+        sizes = stops - starts
+        short = sizes <= PIECE_CHARS
+        # A long piece gets a number of its own, above which no hash lies.
+        keys = np.empty(len(starts), np.uint64)
+        keys[short] = spans.mix(spans.sums(points, starts[short], stops[short], PIECE_CHARS)) >> np.uint64(1)
+        keys[~short] = (1 << 63) + np.arange(np.count_nonzero(~short), dtype=np.uint64)
+        each, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        n_short = int(np.searchsorted(each, np.uint64(1 << 63)))
+        listed = each[:n_short].tolist()
+        found = self.memory.get(listed) + [None] * (len(each) - n_short)
+        lacking = [i for i, ids in enumerate(found) if ids is None]
         if lacking:
-            self._learn({c for i in lacking for c, ids in zip(split[i], found[i]) if ids is None})
-            for i in lacking:
-                found[i] = map(known.__getitem__, split[i])
-        return [np.frombuffer(b"".join(f), "<u4") for f in found]
+            at = first[lacking]
+            new = self._learn([text[a:b] for a, b in zip(starts[at].tolist(), stops[at].tolist())])
+            for i, ids in zip(lacking, new):
+                found[i] = ids
+            self.memory.put((listed[i], found[i]) for i in lacking if i < n_short)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        length = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        begin = np.cumsum(length) - length
+        n = length[inverse]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(begin[inverse] - (upto - n), n) + np.arange(upto[-1])]
+        # Where each text's pieces, and so its ids, end.
+        behind = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in low]))
+        cuts = np.concatenate([[0], upto])[behind].tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        return self.many([text])[0]
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text. Long plain texts are cut at white space, which no piece holds."""
+        parts, owner, whole = [], [], []
+        for i, text in enumerate(texts):
+            if text and self.other(text):
+                whole.append(i)
+            elif text:
+                low = text.lower()
+                while len(low) > CHARS and (gap := GAP.search(low, CHARS)):
+                    parts.append(low[: gap.end()])
+                    owner.append(i)
+                    low = low[gap.end() :]
+                parts.append(low)
+                owner.append(i)
+        out: dict[int, np.ndarray] = {}
+        for a, b in spans.together([len(p) + 1 for p in parts], CHARS):
+            for i, ids in zip(owner[a:b], self._plain(parts[a:b])):
+                out[i] = np.concatenate([out[i], ids]) if i in out else ids
+        if whole:
+            out.update(zip(whole, super().many([texts[i] for i in whole])))
+        return [out.get(i, NOTHING) for i in range(len(texts))]
 
 
 @lru_cache(maxsize=1)
-def chunk_encoder(path: str) -> ChunkEncoder:
-    """One encoder while a Python worker lives; its memory is bounded."""
-    return ChunkEncoder(path)
+def encoder_for(path: str) -> WholeEncoder:
+    """One encoder while a Python worker lives: piece by piece where the file's rules allow it."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    return (PieceEncoder if PieceEncoder.fits(rules) else WholeEncoder)(tokenizer)
 
 
 # --- files ----------------------------------------------------------------
@@ -162,7 +285,7 @@ def write_blocks(
     end_id: int | None,
     id_col: str = "doc_id",
     text: str = "text",
-    encoder: Callable[[str], Callable] = chunk_encoder,
+    encoder: Callable[[str], WholeEncoder] = encoder_for,
     block_ids: int = BLOCK_IDS,
 ) -> None:
     """Encode every whole text and write its ids, in ascending order of the documents' ids.
@@ -219,7 +342,8 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
     blocks = spark.read.parquet(path)
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # Written first, so that Spark knows how small it is and leaves the blocks where they are.
+    offsets = stage(totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
     id_type = blocks.schema["docs"].dataType.elementType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,9 +41,9 @@ def op8_toxicity(spark, folder):
 @query
 def op3_benchmark_decontamination(spark, folder):
     docs, items = (table(spark, folder, t) for t in ("documents", "benchmark"))
-    hits = decontaminate.with_hits(docs.select("doc_id", "text"), items)
-    found = hits.select("doc_id", F.explode("hits").alias("h"))
-    return found.select("doc_id", F.col("h.item").alias("item_id"), "h.similarity", "h.first_word", "h.n_words")
+    found = decontaminate.passages(docs.select("text"), items)
+    places = docs.select("doc_id", decontaminate.digest_of(F.col("text")).alias("digest"))
+    return places.join(found, "digest").select("doc_id", F.col("item").alias("item_id"), "similarity", "first_word", "n_words")
 
 
 @query

@@ -100,15 +100,18 @@ def test_windows_against_brute_force(spark):
         docs.append((i, " ".join(words)))
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_hits", F.lit("kept"))
     table = spark.createDataFrame(items, "item_id long, text string")
-    for per_pass in (7, 2000):
-        got = decontaminate.with_hits(df, table, items_per_pass=per_pass).collect()
-        assert len(got) == len(docs)
-        near = 0
-        for r in got:
-            want = brute_hits(r.text, set(items)) if r.doc_id != 3 else {53: 1.0}
-            assert {h.item: round(h.similarity, 9) for h in r.hits} == {k: round(v, 9) for k, v in want.items()}
-            near += sum(v < 1 for v in want.values())
-        assert near >= 3
+    got = decontaminate.with_hits(df, table).collect()
+    assert len(got) == len(docs)
+    near = 0
+    for r in got:
+        want = brute_hits(r.text, set(items)) if r.doc_id != 3 else {53: 1.0}
+        assert {h.item: round(h.similarity, 9) for h in r.hits} == {k: round(v, 9) for k, v in want.items()}
+        near += sum(v < 1 for v in want.values())
+        for h in r.hits:  # the window named reaches the similarity, and none before it does
+            w, q = decontaminate.words(r.text), decontaminate.words(dict(items)[h.item])
+            assert h.n_words == len(q)
+            assert math.isclose(brute_similarity(w[h.first_word : h.first_word + len(q)], q, min(5, len(q))), h.similarity)
+    assert near >= 3
     assert decontaminate.with_hits(df, table.filter("false")).filter("size(hits) > 0").count() == 0
     kept = decontaminate.clean(df.drop("_hits"), table)
     assert kept.columns == ["doc_id", "text"]
@@ -116,17 +119,31 @@ def test_windows_against_brute_force(spark):
     assert decontaminate.clean(df.drop("_hits").filter("false"), table).count() == 0
 
 
-def test_every_fingerprint_within_the_radius_is_a_candidate():
+def test_every_fingerprint_within_the_radius_is_a_candidate(spark):
     rng = random.Random(9)
-    probe = decontaminate.Probe([(i, sentence(rng, 30)) for i in range(20)], 0.8, decontaminate.RADIUS, 5)
-    fps = []
-    for f in probe.fps.tolist():
-        for n in range(0, 24):
-            fps.append(f ^ sum(1 << b for b in rng.sample(range(64), n)))
-    fps = np.array(fps, np.uint64)
-    w, j = probe._candidates(fps, 30)
-    want = {(a, b) for a in range(len(fps)) for b in range(20) if int(fps[a] ^ probe.fps[b]).bit_count() <= decontaminate.RADIUS}
-    assert set(zip(w.tolist(), j.tolist())) == want
+    items = [(30, rng.getrandbits(64) - (1 << 63)) for _ in range(20)]
+    fps = [f ^ (sum(1 << b for b in rng.sample(range(63), n))) for _, f in items for n in range(24)]
+    windows = spark.createDataFrame([(30, f) for f in fps] + [(31, items[0][1])], "size int, fp bigint")
+    found = decontaminate.candidates(windows, spark.createDataFrame(items, "size int, fp bigint"))
+    apart = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count()
+    want = {(30, a, b) for a in fps for _, b in items if apart(a, b) <= decontaminate.RADIUS}
+    rows = [tuple(r) for r in found.select("size", "fp", "item_fp").collect()]
+    assert set(rows) == want and len(rows) == len(want)
+
+
+@pytest.mark.parametrize("chars", [7, 64, 1 << 19])
+def test_word_hashes_are_one_to_one(monkeypatch, chars):
+    """Equal words have equal hashes wherever they stand, other words other ones, also across the ends of pieces."""
+    monkeypatch.setattr(decontaminate, "CHARS", chars)
+    texts = ["", None, "One, two! ONE_two", "straße ΣΑΣ İstanbul ½ x²", "a" * 30 + " a" + "a" * 29, "x " * 40, " , ", "ab" * 50, "日本語 テキスト"]
+    texts += ["one two", "一 " * 3 + "z" * 7 + " " + "z" * 14 + "! " + "z" * 21]
+    seen = {}
+    for text, hashed in zip(texts, decontaminate.word_hashes(texts)):
+        listed = decontaminate.words(text)
+        assert len(hashed) == len(listed)
+        for word, h in zip(listed, hashed.tolist()):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
 
 
 # --- quality

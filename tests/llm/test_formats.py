@@ -141,17 +141,37 @@ def test_width():
     assert [packing.width_of(v) for v in (1, 2, 3, 256, 257, 49408)] == [1, 1, 2, 8, 9, 16]
 
 
-def test_chunks_encode_like_whole_texts():
-    whole, chunked = Tokenizer.from_file(WORDS), packing.ChunkEncoder(WORDS)
-    for t in ODD:
-        assert chunked(t).tolist() == whole.encode(t or "", add_special_tokens=False).ids
-
-
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("abZé'.,!<|>_-  \n1½你̸́s t")), max_size=25))
-def test_chunks_encode_like_whole_texts_at_random(text):
-    own = packing.chunk_encoder(WORDS)
-    assert own(text).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+def test_pieces_encode_like_whole_texts(monkeypatch):
+    """Odd texts; all plain characters; a memory that forgets; long texts in parts. All at once and each alone."""
+    whole = Tokenizer.from_file(WORDS)
+    plain = [chr(c) for c in range(0x180)]
+    texts = [*ODD, "TÜRKİYE CUMHURİYETİ, Ankara", "GAZETESİ. yeni", "ſ's 'S 'LLama ''s 's's x'd'", "ŉ ª²½ \x85\xa0\x1c\xad"]
+    texts += [t for c in plain for t in (c, f"a{c}b", f"{c}{c}. {c}'s", f"1{c}1")]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for memory, chars in ((300_000, 1 << 19), (10, 1 << 19), (300_000, 50)):
+        monkeypatch.setattr(packing, "PIECE_MEMORY", memory)
+        monkeypatch.setattr(packing, "CHARS", chars)
+        own = packing.PieceEncoder(Tokenizer.from_file(WORDS))
+        assert [ids.tolist() for ids in own.many(texts)] == want
+        assert [own.many([t])[0].tolist() for t in texts[:40]] == want[:40]
+        assert own.many([]) == []
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("abZéİßſŉÿ'.,!<|>_-  \n\x1f\xa01½²你̸́s tremdv")), max_size=25))
+def test_pieces_encode_like_whole_texts_at_random(text):
+    own = packing.encoder_for(WORDS)
+    assert isinstance(own, packing.PieceEncoder)
+    assert own.many([text])[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_rules_encode_whole_texts():
+    """A tokenizer of other rules is not taken apart."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = packing.encoder_for(path)
+    assert type(own) is packing.WholeEncoder
+    whole = Tokenizer.from_file(path)
+    assert [ids.tolist() for ids in own.many(ODD)] == [whole.encode(t or "", add_special_tokens=False).ids for t in ODD]
 
 
 @pytest.mark.parametrize("block", [1, 40, packing.BLOCK_IDS])
