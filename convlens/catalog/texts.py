@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from convlens import constants as K
-from convlens.catalog.base import PROMPTS, SQL_SPACE, SQL_WORD, query
+from convlens.catalog.base import PROMPTS, SQL_SPACE, SQL_WORD, query, r6
 from convlens.functions import text as TX
-from convlens.operators import dedup, ngrams
+from convlens.operators import dedup, ngrams, similarity
 
 
 def sql_list(words) -> str:
@@ -193,3 +193,40 @@ def near_dup_minhash(t):
     others = t.texts("documents").join(t("labels"), "doc_id", "left_anti")
     kept = dedup.drop_near_seen(t.prompt_texts(), "doc_id", "text", others, "doc_id")
     return kept.select("doc_id", "source")
+
+
+# Every text of the one side against every text of the other.
+@query("near_dup_verified", f"""
+WITH texts AS (SELECT doc_id, source, doc_id IN (SELECT doc_id FROM labels) AS mine, {sql_norm('text')} AS k FROM documents),
+words AS (SELECT k, regexp_extract_all(k, '{SQL_WORD}') AS w FROM (SELECT DISTINCT k FROM texts)),
+sets AS (SELECT k, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM words),
+items AS (SELECT k, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.k AS k, b.k AS other, count(*) AS shared, any_value(a.n) AS n, any_value(b.n) AS m
+  FROM items a JOIN items b USING (g)
+  WHERE a.k IN (SELECT k FROM texts WHERE mine) AND b.k IN (SELECT k FROM texts WHERE NOT mine) GROUP BY a.k, b.k),
+near AS (SELECT k, count(*) AS n_near, max(shared / (n + m - shared)) AS nearest FROM pairs WHERE shared / (n + m - shared) >= 0.8 - 1e-9 GROUP BY k)
+SELECT doc_id, source, coalesce(n_near, 0) AS n_near, round(nearest, 6) AS nearest FROM texts LEFT JOIN near USING (k) WHERE mine""")
+def near_dup_verified(t):
+    others = t.texts("documents").join(t("labels"), "doc_id", "left_anti")
+    marked = similarity.with_near(t.prompt_texts().select("doc_id", "source", "text"), "text", others)
+    return marked.select("doc_id", "source", "n_near", r6("nearest").alias("nearest"))
+
+
+# User turns that no assistant turn resembles, at a similarity low enough for some to be dropped.
+@query("near_dup_dropped", f"""
+WITH u AS (SELECT DISTINCT conv_id, turn, {sql_norm('text')} AS k FROM conversations WHERE role = 'user'),
+o AS (SELECT DISTINCT {sql_norm('text')} AS k FROM conversations WHERE role = 'assistant'),
+sets AS (SELECT k, list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+   ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) END) AS s
+   FROM (SELECT k, regexp_extract_all(k, '{SQL_WORD}') AS w FROM (SELECT k FROM u UNION SELECT k FROM o))),
+items AS (SELECT k, len(s) AS n, unnest(s) AS g FROM sets),
+near AS (
+  SELECT a.k AS k FROM items a JOIN items b USING (g) WHERE a.k IN (SELECT k FROM u) AND b.k IN (SELECT k FROM o)
+  GROUP BY a.k, b.k HAVING count(*) >= 0.1 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9)
+SELECT conv_id, turn FROM u WHERE k NOT IN (SELECT k FROM near)""")
+def near_dup_dropped(t):
+    talks = t("conversations")
+    asked, said = (talks.filter(F.col("role") == r) for r in ("user", "assistant"))
+    return similarity.drop_near(asked.select("conv_id", "turn", "text"), "text", said, t=0.1, shingle=3).select("conv_id", "turn")

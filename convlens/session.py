@@ -64,18 +64,36 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/convlens-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _staged.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
 
 
 _staged: list[str] = []
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every table staged so far, once the results that read them have been written; gives their number."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = len(_staged)
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(conf).delete(path, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables staged so far, or since a mark, once the results that read them are written; gives their number."""
+    n = len(_staged) - since
+    while len(_staged) > since:
+        _delete(spark, _staged.pop())
     return n
+
+
+def staged_mark() -> int:
+    """The number of tables staged so far, for `release`."""
+    return len(_staged)
+
+
+def discard(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Delete staged tables that nothing reads any more, such as those of an iteration's earlier round."""
+    for table in tables:
+        path = getattr(table, "_staged_path", None)
+        if path in _staged:
+            _staged.remove(path)
+            _delete(spark, path)
