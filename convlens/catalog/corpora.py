@@ -9,8 +9,9 @@ from convlens.catalog.texts import sql_clean, sql_list
 from convlens.functions import columns as B
 from convlens.functions import conversation as C
 from convlens.functions import text as TX
-from convlens.operators import metrics
+from convlens.operators import metrics, quality
 from convlens.plans import corpora
+from convlens.sources import readers
 
 
 @query("harm_by_group", f"""
@@ -155,3 +156,53 @@ def error_analysis(t):
     meta = table.select("row_id", "conversation_id").join(both, "row_id").drop("row_id")
     parts = corpora.error_analysis(table, meta)
     return parts["by_subcategory"]
+
+
+@query("row_ids", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) + 99 AS row_id FROM documents")
+def row_ids(t):
+    return readers.with_row_ids(t.spark, f"{t.folder}/documents.parquet", offset=100).select("doc_id", "row_id")
+
+
+# Files hold their rows in the order of ids.
+EARLY = """
+WITH r AS (
+  SELECT doc_id, coalesce(lang = 'en', false) AS english, coalesce(lang = 'en' AND n_chars >= 800, false) AS long,
+         coalesce(lang = 'en' AND n_chars >= 800 AND NOT contains(text, '###'), false) AS clean FROM documents),
+k AS (SELECT *, count(*) FILTER (clean) OVER (ORDER BY doc_id) AS upto FROM r),
+s AS (SELECT * FROM k WHERE upto < 40 OR (upto = 40 AND clean))"""
+
+
+def early_scan(t):
+    conditions = {"english": F.col("lang") == "en", "long": F.col("n_chars") >= 800, "clean": ~F.contains("text", F.lit("###"))}
+    return readers.scan_until(t.spark, f"{t.folder}/documents.parquet", conditions, 40)
+
+
+@query("early_scan_rows", f"{EARLY} SELECT doc_id, lang, source FROM s JOIN documents USING (doc_id) WHERE clean")
+def early_scan_rows(t):
+    return early_scan(t)[0].select("doc_id", "lang", "source")
+
+
+@query("early_scan_report", f"""{EARLY}
+SELECT count(*) AS scanned, count(*) FILTER (english) AS english, count(*) FILTER (long) AS long, count(*) FILTER (clean) AS clean,
+       count(*) FILTER (clean) AS kept FROM s""")
+def early_scan_report(t):
+    return early_scan(t)[1]
+
+
+# A second build of the documents with rows changed, dropped, added and repeated.
+@query("rebuilt_difference", """
+WITH other AS (
+  SELECT doc_id, CASE WHEN doc_id % 101 = 7 THEN text || '.' ELSE text END AS text, lang FROM documents WHERE doc_id % 211 <> 3
+  UNION ALL SELECT doc_id + 1000000000, text, lang FROM documents WHERE doc_id % 307 = 5
+  UNION ALL SELECT doc_id, text, lang FROM documents WHERE doc_id % 401 = 11),
+a AS (SELECT doc_id, count(*) AS n, string_agg(concat_ws('|', text, lang), '~' ORDER BY text, lang) AS v FROM documents GROUP BY doc_id),
+b AS (SELECT doc_id, count(*) AS n, string_agg(concat_ws('|', text, lang), '~' ORDER BY text, lang) AS v FROM other GROUP BY doc_id)
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'left' WHEN a.doc_id IS NULL THEN 'right' ELSE 'changed' END AS status
+FROM a FULL JOIN b ON a.doc_id = b.doc_id WHERE a.v IS DISTINCT FROM b.v""")
+def rebuilt_difference(t):
+    docs = t("documents").select("doc_id", "text", "lang")
+    changed = docs.withColumn("text", F.when(F.col("doc_id") % 101 == 7, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    other = changed.filter("doc_id % 211 <> 3").unionByName(
+        docs.filter("doc_id % 307 = 5").withColumn("doc_id", F.col("doc_id") + 1000000000)
+    ).unionByName(docs.filter("doc_id % 401 = 11"))
+    return quality.table_difference(docs, other, "doc_id")[0]

@@ -1,10 +1,13 @@
 """Queries of metrics over the scored prompts."""
 
+import json
+import math
+
 from pyspark.sql import functions as F
 
 from convlens.catalog.base import SCORED, query, r6
 from convlens.functions import columns as B
-from convlens.operators import bootstrap, metrics
+from convlens.operators import bootstrap, metrics, models
 
 RATIO = "CASE WHEN {b} = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
 
@@ -211,9 +214,72 @@ def best_runs(t):
     return metrics.best_runs(runs(t), "arm", "metric", "seed").withColumn("metric", r6("metric"))
 
 
-@query("bootstrap_ci")
+def sql_draw(key: str, n: str, replicate: str) -> str:
+    """One Poisson draw of a cell: its digest against the distribution of its size."""
+    digest = f"md5('0|' || {key} || '|' || {replicate})"
+    u, v = (f"((CAST('0x' || substr({digest}, {at}, 12) AS BIGINT) + 0.5) / {float(1 << 48)!r})" for at in (1, 13))
+    z = f"(sqrt(-2 * ln({u})) * cos({2 * math.pi!r} * {v}))"
+    exact = f"len(list_filter({json.dumps(bootstrap.distributions())}[CAST({n} AS BIGINT)], lambda c: CAST(c AS DOUBLE) <= {u}))"
+    wide = f"greatest(0, floor({n} + sqrt({n}) * {z} + ({z} * {z} - 1) / 6 + 0.5))"
+    return f"CASE WHEN {n} = 0 THEN 0 WHEN {n} <= {bootstrap.EXACT} THEN {exact} ELSE CAST({wide} AS BIGINT) END"
+
+
+F1_MACRO = "({} + {}) / 2".format(ratio("2 * tp", "2 * tp + fp + fn"), ratio("2 * tn", "2 * tn + fp + fn"))
+
+
+@query("bootstrap_ci", f"""
+WITH {SCORED}, reps AS (SELECT range AS r FROM range(1000)),
+four AS (SELECT harm, pred, count(*) AS n FROM scored GROUP BY harm, pred),
+drawn AS (SELECT r, harm, pred, {sql_draw("'cell|' || harm || '|' || pred", "n", "r")} AS w FROM four, reps),
+o AS (SELECT r, sum(w) FILTER (harm = 0 AND pred = 0) AS tn, sum(w) FILTER (harm = 0 AND pred = 1) AS fp,
+             sum(w) FILTER (harm = 1 AND pred = 0) AS fn, sum(w) FILTER (harm = 1 AND pred = 1) AS tp FROM drawn GROUP BY r),
+f AS (SELECT {F1_MACRO} AS f1 FROM (SELECT coalesce(tn, 0) AS tn, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn, coalesce(tp, 0) AS tp FROM o)),
+cells AS (SELECT score, sum(harm) AS pos, sum(1 - harm) AS neg FROM scored GROUP BY score),
+steps AS (SELECT r, score, {sql_draw("printf('%.9f', score) || '|1'", "pos", "r")} AS p, {sql_draw("printf('%.9f', score) || '|0'", "neg", "r")} AS n FROM cells, reps),
+runs AS (SELECT *, sum(p) OVER (PARTITION BY r ORDER BY score DESC) AS tp FROM steps),
+a AS (SELECT sum(n * (2 * tp - p) / 2) / (sum(p) * sum(n)) AS auc FROM runs GROUP BY r HAVING sum(p) > 0 AND sum(n) > 0)
+SELECT 'f1_macro' AS metric, round(quantile_cont(f1, 0.025), 6) AS lo, round(quantile_cont(f1, 0.975), 6) AS hi, count(*) AS replicates FROM f
+UNION ALL SELECT 'roc_auc', round(quantile_cont(auc, 0.025), 6), round(quantile_cont(auc, 0.975), 6), count(*) FROM a""")
 def bootstrap_ci(t):
     scored = t.scored()
-    return bootstrap.f1_macro_interval(scored, "harm", "pred").unionByName(
+    found = bootstrap.f1_macro_interval(scored, "harm", "pred").unionByName(
         bootstrap.roc_auc_interval(scored, "harm", "score")
     )
+    return found.select("metric", r6("lo").alias("lo"), r6("hi").alias("hi"), "replicates")
+
+
+@query("false_alarm_rates", f"""
+WITH {SCORED}, m AS (SELECT source, count(*) FILTER (pred = 1) AS false_alarms, count(*) AS total FROM scored WHERE harm = 0 GROUP BY source)
+SELECT source, false_alarms, total, round(false_alarms / total, 6) AS false_alarm_rate FROM m""")
+def false_alarm_rates(t):
+    m = metrics.false_alarm_rates(t.scored(), "harm", "pred", "source")
+    return m.select("source", "false_alarms", "total", r6("false_alarm_rate").alias("false_alarm_rate"))
+
+
+@query("calibration_by_group", f"""
+WITH {SCORED}, e AS (SELECT *, len(list_filter([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0], lambda x: score > CAST(x AS DOUBLE))) AS b FROM scored)
+SELECT source, format('{{:.1f}}-{{:.1f}}', (b - 1) / 10, b / 10) AS bucket, count(*) AS n,
+       round(avg(CAST(harm = pred AS INTEGER)), 6) AS accuracy, round(avg(harm), 6) AS actual_rate
+FROM e WHERE b BETWEEN 1 AND 10 GROUP BY source, b""")
+def calibration_by_group(t):
+    c = metrics.calibration(t.scored(), "harm", "pred", "score", by=["source"])
+    return c.select("source", "bucket", "n", r6("accuracy").alias("accuracy"), r6("actual_rate").alias("actual_rate"))
+
+
+# Train and validation scores of runs, taken from two languages; one run per source.
+@query("ranked_runs", f"""
+WITH {SCORED}, r AS (
+  SELECT CAST(substr(source, 4) AS INTEGER) AS run, avg(CAST(pred = harm AS INTEGER)) FILTER (lang = 'en') AS train_pr,
+         avg(CAST(pred = harm AS INTEGER)) FILTER (lang = 'fr') AS val_pr FROM scored GROUP BY source),
+g AS (SELECT *, abs(val_pr - train_pr) AS gap FROM r WHERE val_pr IS NOT NULL AND train_pr IS NOT NULL)
+SELECT run, round(train_pr, 6) AS train_pr, round(val_pr, 6) AS val_pr, round(gap, 6) AS gap,
+       row_number() OVER (ORDER BY val_pr DESC, run) AS rank_val, row_number() OVER (ORDER BY gap, run) AS rank_gap FROM g""")
+def ranked_runs(t):
+    right = (F.col("pred") == F.col("harm")).cast("int")
+    table = t.scored().groupBy(F.substring("source", 4, 10).cast("int").alias("run")).agg(
+        F.avg(F.when(F.col("lang") == "en", right)).alias("train_pr"), F.avg(F.when(F.col("lang") == "fr", right)).alias("val_pr")
+    )
+    table = table.dropna().withColumn("gap", F.abs(F.col("val_pr") - F.col("train_pr")))
+    ranked = models.ranked_runs(table)
+    return ranked.select("run", *[r6(c).alias(c) for c in ("train_pr", "val_pr", "gap")],
+                         F.col("rank_val").cast("bigint").alias("rank_val"), F.col("rank_gap").cast("bigint").alias("rank_gap"))

@@ -193,21 +193,21 @@ def false_alarm_rates(df: DataFrame, label: str, pred: str, by: str) -> DataFram
     )
 
 
-def calibration(df: DataFrame, label: str, pred: str, score: str, include_lowest: bool = False) -> DataFrame:
-    """n, accuracy and share of positives per tenth of the score; a score of exactly 0 has no bucket."""
+def calibration(df: DataFrame, label: str, pred: str, score: str, include_lowest: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """n, accuracy and share of positives per tenth of the score, per group; a score of exactly 0 has no bucket."""
     limits = [i / 10 for i in range(11)]
     bucket = profile.cut(F.col(score), limits, include_lowest)
     name = F.format_string("%.1f-%.1f", (F.col("_b") - 1) / 10, F.col("_b") / 10)
     return (
         df.withColumn("_b", bucket)
         .filter("_b is not null")
-        .groupBy("_b")
+        .groupBy(*by, "_b")
         .agg(
             F.count("*").alias("n"),
             F.avg((F.col(label) == F.col(pred)).cast("int")).alias("accuracy"),
             F.avg(label).alias("actual_rate"),
         )
-        .select(name.alias("bucket"), "n", "accuracy", "actual_rate")
+        .select(*by, name.alias("bucket"), "n", "accuracy", "actual_rate")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -195,6 +196,30 @@ def feed_forward(label: str, dimension: int, hidden: Sequence[int] = (128, 64),
     )
 
 
+def forward(df: DataFrame, vector: str, layers: Sequence[tuple[Sequence[Sequence[float]], Sequence[float]]], threshold: float = K.THRESHOLD) -> DataFrame:
+    """Add `prob` and `pred` of a two-class network of given weights, on the JVM.
+
+    Each layer is (rows of weights, biases); hidden layers end in a sigmoid, the
+    last one in shares. The weights are constants of the plan: a network of
+    some thousand numbers, not a large model.
+    """
+    values = F.col(vector).cast("array<double>")
+    out = df
+    for k, (weights, biases) in enumerate(layers):
+        flat = [[float(x) for x in row] + [float(b)] for row, b in zip(weights, biases, strict=True)]
+        rows = F.from_json(F.lit(json.dumps(flat)), "array<array<double>>")
+        inputs = F.concat(values, F.array(F.lit(1.0)))  # the bias is the weight of a constant input
+        act = F.col("_inputs")
+        sums = F.transform(rows, lambda row: F.aggregate(F.zip_with(row, act, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
+        if k + 1 < len(layers):
+            sums = F.transform(sums, lambda x: 1 / (1 + F.exp(-x)))
+        out = out.withColumn("_inputs", inputs).withColumn("_layer", sums)
+        values = F.col("_layer")
+    prob = 1 / (1 + F.exp(F.get("_layer", F.lit(0)) - F.get("_layer", F.lit(1))))
+    out = out.select(*df.columns, prob.alias("prob"))
+    return out.withColumn("pred", (F.col("prob") >= threshold).cast("int"))
+
+
 def sweep(train: DataFrame, val: DataFrame, label: str, dimension: int, configs: dict[int, dict]) -> DataFrame:
     """One row per configuration: train and validation PR score, their gap, number of weights."""
     rows = []

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convlens import constants as K
 from convlens.functions import conversation as C
 from convlens.operators import ranking
+from convlens.operators.embeddings import let
 
-SLOTS = 1024
+#: A dictionary is one value of the plan; a list of names is never longer than this.
+LARGEST = 1_000_000
 
 
 def name_intervals(names: DataFrame, name: str = "Name", weight: str = "Count", row_id: str = "Id") -> DataFrame:
@@ -21,59 +25,52 @@ def name_intervals(names: DataFrame, name: str = "Name", weight: str = "Count",
     return cum.select("name", ((F.col("cum") - F.col("w")) / total).alias("lo"), (F.col("cum") / total).alias("hi"))
 
 
-def draw_names(tokens: DataFrame, key: str, token: str, intervals: DataFrame, seed=K.SEED) -> DataFrame:
-    """Add the name drawn for each (key, token): equal pairs always draw the same name.
+class NameTable:
+    """The weighted dictionary as two arrays held by the plan, so that a draw is a look-up and meets no join."""
 
-    The range lookup is an equi-join on slots of the unit interval, so each
-    token meets the few names of its slot only.
-    """
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(token), F.lit(str(seed)))), 1, 8), 16, 10)
-    drawn = tokens.withColumn("_u", draw.cast("double") / 4294967296.0)
-    drawn = drawn.withColumn("_slot", F.floor(F.col("_u") * SLOTS))
-    slots = intervals.withColumn(
-        "_slot",
-        F.explode(F.sequence(F.floor(F.col("lo") * SLOTS), F.least(F.floor(F.col("hi") * SLOTS), F.lit(SLOTS - 1).cast("bigint")))),
-    )
-    met = drawn.join(slots, "_slot").filter((F.col("lo") <= F.col("_u")) & (F.col("_u") < F.col("hi")))
-    return met.drop("_u", "_slot", "lo", "hi")
+    def __init__(self, intervals: DataFrame):
+        rows = intervals.orderBy("hi").limit(LARGEST + 1).collect()
+        if len(rows) > LARGEST:
+            raise ValueError(f"a dictionary of more than {LARGEST} names")
+        rows = [r for r in rows if r["lo"] < r["hi"]]
+        self.starts = [r["lo"] for r in rows]
+        self.names = F.from_json(F.lit(json.dumps([r["name"] for r in rows])), "array<string>")
+
+    def draw(self, key: Column, token: Column, seed=K.SEED) -> Column:
+        """The name of a (key, token): equal pairs always draw the same one."""
+        digest = F.md5(F.concat_ws("|", key.cast("string"), token, F.lit(str(seed))))
+        u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
+        if not self.starts:
+            return F.lit(None).cast("string")
+        return let(u, lambda x: F.get(self.names, ranking.limits_bucket(x, self.starts) - 1))
 
 
 def found_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(K.NAME_TOKEN), F.lit(0))
 
 
-def substitute(text: Column, mapping: Column) -> Column:
-    """Text with every token replaced by its mapped name; brackets around tokens stay."""
+def substitute(text: Column, name_of) -> Column:
+    """Text with every token replaced by `name_of` the token; brackets around tokens stay, tokens without a name too."""
     between = F.split(text, K.NAME_TOKEN, -1)
-    chosen = F.transform(found_tokens(text), lambda t: F.coalesce(F.try_element_at(mapping, t), t))
-    filled = F.array_join(F.zip_with(between, chosen, lambda b, n: F.concat(b, F.coalesce(n, F.lit("")))), "")
-    return F.when(mapping.isNull(), text).otherwise(filled)
-
-
-def _maps(tokens: DataFrame, key: str, names: DataFrame, seed) -> DataFrame:
-    drawn = draw_names(tokens, key, "token", name_intervals(names), seed)
-    entries = F.collect_list(F.struct("token", "name"))
-    return drawn.groupBy(key).agg(F.map_from_entries(entries).alias("_names"))
+    chosen = F.transform(found_tokens(text), lambda t: F.coalesce(name_of(t), t))
+    return F.array_join(F.zip_with(between, chosen, lambda b, n: F.concat(b, F.coalesce(n, F.lit("")))), "")
 
 
 def replace_in_conversations(
     df: DataFrame, key: str, conversation: str, names: DataFrame, redacted: Column | None = None, seed=K.SEED
 ) -> DataFrame:
-    """Replace tokens in nested conversations: one name per token per conversation."""
-    rows = df if redacted is None else df.filter(redacted)
-    texts = F.transform(F.col(conversation), lambda m: found_tokens(m["content"]))
-    tokens = rows.select(key, F.explode(F.array_distinct(F.flatten(texts))).alias("token"))
-    joined = df.join(_maps(tokens, key, names, seed), key, "left")
+    """Replace tokens in nested conversations: one name per token per conversation. No row moves."""
+    table = NameTable(name_intervals(names))
     replaced = F.transform(
-        F.col(conversation), lambda m: C.message(m["role"], substitute(m["content"], F.col("_names")))
+        F.col(conversation),
+        lambda m: C.message(m["role"], substitute(m["content"], lambda t: table.draw(F.col(key), t, seed))),
     )
-    return joined.withColumn(conversation, replaced).drop("_names")
+    return df.withColumn(conversation, replaced if redacted is None else F.when(redacted, replaced).otherwise(F.col(conversation)))
 
 
 def replace_in_messages(df: DataFrame, key: str, text: str, names: DataFrame, redacted: Column | None = None, seed=K.SEED) -> DataFrame:
     """The same on one row per message. The draw depends on key and token alone,
     so messages of one conversation agree without being brought together."""
-    rows = df if redacted is None else df.filter(redacted)
-    tokens = rows.select(key, F.explode(found_tokens(F.col(text))).alias("token")).distinct()
-    joined = df.join(_maps(tokens, key, names, seed), key, "left")
-    return joined.withColumn(text, substitute(F.col(text), F.col("_names"))).drop("_names")
+    table = NameTable(name_intervals(names))
+    replaced = substitute(F.col(text), lambda t: table.draw(F.col(key), t, seed))
+    return df.withColumn(text, replaced if redacted is None else F.when(redacted, replaced).otherwise(F.col(text)))

@@ -60,23 +60,12 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 def describe(df: DataFrame, column: str, by: Sequence[str] = (), probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, quantiles, max; one row per group.
 
-    Quantiles are exact. Use it on counts and lengths, whose distinct values
-    are few; `describe_values` takes columns with any number of them.
+    Quantiles are exact, selected inside the brackets of a sketch.
     """
-    at = F.percentile(column, F.array(*[F.lit(float(p)) for p in probs]))
-    stats = df.groupBy(*by).agg(
-        F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-        F.min(column).alias("min"),
-        at.alias("_q"),
-        F.max(column).alias("max"),
-    )
-    return _spread(stats, by, probs)
+    return _described(df, column, by, probs, ranking.exact_quantiles(df, column, probs, by))
 
 
-def describe_values(df: DataFrame, column: str, by: Sequence[str] = (), probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """`describe` with quantiles found by distributed counting."""
+def _described(df: DataFrame, column: str, by: Sequence[str], probs: Sequence[float], found: DataFrame) -> DataFrame:
     stats = df.groupBy(*by).agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
@@ -84,7 +73,6 @@ def describe_values(df: DataFrame, column: str, by: Sequence[str] = (), probs: S
         F.min(column).alias("min"),
         F.max(column).alias("max"),
     )
-    found = ranking.quantiles(df, column, probs, by)
     if by:
         stats = ranking.join_null_safe(stats, found, by, "left").withColumnRenamed("q", "_q")
     else:
@@ -92,6 +80,11 @@ def describe_values(df: DataFrame, column: str, by: Sequence[str] = (), probs: S
     return _spread(stats, by, probs)
 
 
+def describe_values(df: DataFrame, column: str, by: Sequence[str] = (), probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """`describe` with quantiles found by distributed counting."""
+    return _described(df, column, by, probs, ranking.quantiles(df, column, probs, by))
+
+
 def _spread(stats: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     quantiles = [F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probs)]
     return stats.select(*by, "count", "mean", "std", "min", *quantiles, "max")

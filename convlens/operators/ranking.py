@@ -7,12 +7,14 @@ window finishes the job. No task sees more than one bucket of one group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens import constants as K
+from convlens import session
 
 HASH_DIGITS = 4
 HASH_BUCKETS = 16**HASH_DIGITS
@@ -28,30 +30,88 @@ def hash_bucket(key: Column) -> Column:
     return F.conv(F.substring(key, 1, HASH_DIGITS), 16, 10).cast("int")
 
 
+#: Rows that one window of an order structure sees at most, unless they are equal.
+BOUND = 1 << 20
+#: Pieces that a bucket above the bound is cut into in one round.
+FAN = 128
+#: More limits than this are searched in an array, not by nested conditions.
+NESTED = 128
+
+
 def limits_bucket(value: Column, limits: Sequence[float]) -> Column:
-    """How many of the ascending limits lie at or below a value: a tree of comparisons, null below all."""
+    """How many of the ascending limits lie at or below a value: a search by halves, null below all."""
     if not limits:
         return F.lit(0)
+    if len(limits) <= NESTED:
+
+        def tree(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(value >= F.lit(limits[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value >= F.lit(limits[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return tree(0, len(limits))
+    listed = F.split(F.lit(",".join(repr(float(x)) for x in limits)), ",").cast("array<double>")
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(len(limits).bit_length()))])
 
-    return tree(0, len(limits))
+    def further(found: Column, step: Column) -> Column:
+        at = found + step
+        return F.when((at <= len(limits)) & (F.get(listed, at - 1) <= value), at).otherwise(found)
 
+    return F.coalesce(F.aggregate(halves, F.lit(0), further), F.lit(0))
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int = 128) -> Column:
-    """Order-keeping bucket of a numeric column between limits taken from its own quantiles.
 
-    Each bucket holds about the same share of rows however the values lie, but a
-    value that fills several buckets fills one: count equal values first where
-    they may be many. Only the limits reach the driver.
+def splitters(df: DataFrame, column: str, bound: int = BOUND) -> list[float]:
+    """Ascending limits between which no more than `bound` rows lie, or rows of one value only.
+
+    A tree grown level by level: each round counts all buckets and cuts those
+    above the bound at quantiles of their own, wherever they lie. A value that
+    would fill a bucket by itself gets one of its own. The limits reach the
+    driver, a few for every `bound` rows.
+    """
+    values = df.select(F.col(column).cast("double").alias("x"))
+    limits: list[float] = []
+    while True:
+        placed = values.withColumn("b", limits_bucket(F.col("x"), limits))
+        sizes = placed.groupBy("b").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        big = {r["b"]: r for r in sizes.filter((F.col("n") > bound) & (F.col("lo") < F.col("hi"))).collect()}
+        if not big:
+            return limits
+        shares = [i / FAN for i in range(1, FAN)]
+        inside = placed.filter(F.col("b").isin(list(big)) if len(big) <= NESTED else F.array_contains(
+            F.split(F.lit(",".join(map(str, big))), ",").cast("array<int>"), F.col("b")))
+        cuts = inside.groupBy("b").agg(F.percentile_approx("x", shares, FAN * 40).alias("q")).collect()
+        new = set()
+        for r in cuts:
+            own, q = big[r["b"]], [x for x in r["q"] if x == x]
+            every = max(1, FAN * bound // (2 * own["n"]))
+            new |= set(q[every - 1 :: every])
+            hot = {a for a, z in zip(q, q[1:]) if a == z} | {own["lo"]} & set(q)
+            new |= hot | {math.nextafter(x, math.inf) for x in hot}
+        grown = sorted(set(limits) | new)
+        if grown == limits:
+            return limits
+        limits = grown
+
+
+def quantile_bucket(df: DataFrame, column: str, bound: int = BOUND) -> Column:
+    """Order-keeping bucket of a numeric column; none holds more than `bound` rows unless their values are equal.
+
+    Count equal values first where they may be many, or give them a second key by `tie_bucket`.
     """
-    share = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(F.col(column).cast("double"), share, buckets * 40)).first()[0]
-    return limits_bucket(F.col(column).cast("double"), sorted({x for x in found or [] if x == x}))
+    return limits_bucket(F.col(column).cast("double"), splitters(df, column, bound))
+
+
+def tie_bucket(df: DataFrame, column: str, tie: str, bound: int = BOUND) -> Column:
+    """Order-keeping bucket of (column, tie): a value of the first that exceeds the bound is cut along the second."""
+    limits = splitters(df, column, bound)
+    first = limits_bucket(F.col(column).cast("double"), limits)
+    sizes = df.groupBy(first.alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") > bound)
+    second = F.lit(0)
+    for r in sizes.collect():  # values of more than `bound` rows
+        own = splitters(df.filter(first == r["b"]), tie, bound)
+        second = F.when(first == r["b"], limits_bucket(F.col(tie).cast("double"), own)).otherwise(second)
+    return F.struct(first.alias("a"), second.alias("b"))
 
 
 def value_range(df: DataFrame, column: str) -> tuple[float, float]:
@@ -227,3 +287,60 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[s
         part = pos - F.floor(pos)
         values.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * part)
     return found.select(*by, F.array(*values).alias("q"))
+
+
+#: Entries of the quantile sketch: a bracket holds some six parts in `ACCURACY` of a group's rows.
+ACCURACY = 10_000
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
+    """Exact interpolated quantiles per group in two passes: (group, q), in the order of `probs`.
+
+    A mergeable sketch brackets each wanted rank from both sides, wider than its
+    error. The second pass counts what lies below a bracket and on its ends, and
+    keeps the few values strictly inside; the rank is then picked exactly. Memory
+    follows the sketch and the brackets, not the distinct values; a hot value is
+    a bracket's end. One row per group leaves each task.
+    """
+    by, probs = list(by), [float(p) for p in probs]
+    known = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_x"))
+    reach = 2.0 / accuracy
+    at = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+    sketch = known.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx("_x", at, accuracy).alias("_b"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    sketch = session.stage(sketch)
+    if by:
+        met = join_null_safe(known, sketch, by)
+    else:
+        one = sketch.select(F.struct("_n", "_b", "_lo", "_hi")).scalar()
+        met = known.withColumns({c: one[c] for c in ("_n", "_b", "_lo", "_hi")})
+    x, found, kept = F.col("_x"), [], []
+    for i, p in enumerate(probs):
+        # The ends of the table stand in where a bracket would have to reach beyond it.
+        lo = F.col("_lo") if p <= reach else F.get("_b", F.lit(2 * i))
+        hi = F.col("_hi") if p >= 1 - reach else F.get("_b", F.lit(2 * i + 1))
+        kept += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}")]
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        found += [
+            F.count_if(x < lo).alias(f"_below{i}"), F.count_if(x == lo).alias(f"_at{i}"),
+            F.array_sort(F.collect_list(F.when((x > lo) & (x < hi), x))).alias(f"_in{i}"),
+            F.count_if((x == hi) & (lo != hi)).alias(f"_end{i}"),
+            F.any_value(lo).alias(f"_lo{i}"), F.any_value(hi).alias(f"_hi{i}"),
+            # A rank may lie one place outside its bracket where a group is small.
+            F.max(F.when(x < lo, x)).alias(f"_before{i}"), F.min(F.when(x > hi, x)).alias(f"_after{i}"),
+        ]
+    ready = met.select(*by, "_x", "_n", *kept).groupBy(*by).agg(F.any_value("_n").alias("_n"), *found)
+    values = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("_n") - 1)
+
+        def value(rank: Column, i: int = i) -> Column:
+            inside = rank - F.col(f"_below{i}") - F.col(f"_at{i}")
+            beyond = inside - F.size(f"_in{i}") - F.col(f"_end{i}")
+            return (
+                F.when(rank < F.col(f"_below{i}"), F.col(f"_before{i}")).when(inside < 0, F.col(f"_lo{i}"))
+                .when(beyond >= 0, F.col(f"_after{i}")).otherwise(F.coalesce(F.get(f"_in{i}", inside.cast("int")), F.col(f"_hi{i}")))
+            )
+
+        low, high = value(F.floor(pos)), value(F.ceil(pos))
+        values.append(low + (high - low) * (pos - F.floor(pos)))
+    return ready.select(*by, F.array(*values).alias("q"))

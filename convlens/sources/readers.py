@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from convlens import constants as K
+from convlens import session
 from convlens.functions import conversation as C
 from convlens.functions import columns as B
 
-__all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview"]
+__all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview", "with_row_ids", "scan_until", "finished"]
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, ordered: bool = False) -> DataFrame:
@@ -24,6 +26,89 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructT
     return df.select("*", F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def with_row_ids(spark: SparkSession, path: str | Sequence[str], name: str = "row_id", offset: int = 0) -> DataFrame:
+    """One or many Parquet files with dense ids 0..n-1 in the order of (path, row).
+
+    Rows are counted per file, which takes no column; the running count of the
+    files before is added to each row's place in its own file. The table of
+    counts has one row per file and is written first, so Spark knows its size:
+    below the broadcast limit no row moves.
+    """
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    sizes = df.groupBy(file.alias("_file")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = session.stage(sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    placed = df.select("*", file.alias("_file"), row.alias("_row")).join(starts, "_file")
+    return placed.select(*df.columns, (F.col("_start") + F.col("_row") + F.lit(offset)).alias(name))
+
+
+def scan_until(spark: SparkSession, path: str | Sequence[str], conditions: dict[str, Column], target: int, folder: str | None = None,
+               first: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Read files in order until `target` rows meet all conditions: (those rows, one row of counts).
+
+    `conditions` are cumulative, in order. Files are read by path, in batches of
+    `first`, twice as many, and so on, and no file behind the last wanted row's
+    batch is opened. A first narrow pass over a batch finds that row, if the batch
+    holds it; a second one writes what was kept, its counts observed on the way.
+    Counts are `scanned`, one per condition, and `kept`; rows behind the last one
+    wanted are not in them.
+
+    Every finished batch is written to `folder` with its counts; a scan that is
+    started again with the same folder goes on behind them. Neither rows nor
+    counts depend on partitioning.
+    """
+    folder = folder or f"{session.checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
+    source = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    files, schema = sorted(source.inputFiles()), source.schema
+    flags, held = {}, F.lit(True)
+    for label, condition in conditions.items():
+        held = held & F.coalesce(condition, F.lit(False))
+        flags[label] = held
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    names = ["scanned", *flags, "kept"]
+    totals, parts, at, size, batch = dict.fromkeys(names, 0), [], 0, first, 0
+    while at < len(files) and totals["kept"] < target:
+        own = spark.read.schema(schema).parquet(*files[at : at + size])
+        rows_at, counts_at = f"{folder}/rows-{batch}", f"{folder}/counts-{batch}"
+        if not finished(spark, counts_at):
+            marked = own.select("*", *place).withColumns({f"_c_{n}": c for n, c in flags.items()})
+            missing = target - totals["kept"]
+            wanted = marked.filter(held)
+            # A bounded heap per task: the first places in order, at most the missing number.
+            cut = wanted.select("_file", "_row").orderBy("_file", "_row").limit(missing).agg(
+                F.count("*").alias("n"), F.max(F.struct("_file", "_row")).alias("last")
+            ).first()
+            inside = F.lit(True)
+            if cut["n"] == missing:
+                last = cut["last"]
+                inside = (F.col("_file") < last["_file"]) | ((F.col("_file") == last["_file"]) & (F.col("_row") <= last["_row"]))
+            counters = [F.count(F.lit(1)).alias("scanned"), *[F.count_if(f"_c_{n}").alias(n) for n in flags]]
+            rows = [*source.columns, "_file", "_row"]
+            if cut["n"]:
+                seen = Observation()
+                marked.filter(inside).observe(seen, *counters).filter(held).select(*rows).write.mode("overwrite").parquet(rows_at)
+                found = seen.get
+            else:  # nothing to write, and Spark may have dropped the whole plan
+                marked.limit(0).select(*rows).write.mode("overwrite").parquet(rows_at)
+                found = marked.agg(*counters).first().asDict()
+            row = [int(found[n] or 0) for n in ["scanned", *flags]]
+            spark.createDataFrame([(*row, row[-1])], ", ".join(f"`{n}` bigint" for n in names)).coalesce(1).write.mode("overwrite").parquet(counts_at)
+        for n, v in spark.read.parquet(counts_at).first().asDict().items():
+            totals[n] += v
+        parts.append(rows_at)
+        at, size, batch = at + size, 2 * size, batch + 1
+    report = spark.createDataFrame([tuple(totals[n] for n in names)], ", ".join(f"`{n}` bigint" for n in names))
+    kept = spark.read.parquet(*parts).drop("_file", "_row") if parts else source.limit(0)
+    return kept, report
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """True if the path holds a finished write, on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a table out to as many tasks as the session asks for, before work on their texts.
 

@@ -91,10 +91,13 @@ def test_replace_names(spark):
 def test_names_follow_weights(spark):
     dictionary = spark.createDataFrame([(1, "Ann", 1), (2, "Bob", 3)], "Id long, Name string, Count long")
     tokens = spark.range(4000).select(F.col("id").alias("k"), F.lit("NAME_1").alias("token"))
-    drawn = names.draw_names(tokens, "k", "token", names.name_intervals(dictionary))
+    table = names.NameTable(names.name_intervals(dictionary))
+    drawn = tokens.select("k", table.draw(F.col("k"), F.col("token")).alias("name"))
+    assert "Exchange" not in drawn._jdf.queryExecution().executedPlan().toString()
     counts = {r["name"]: r["count"] for r in drawn.groupBy("name").count().collect()}
     assert sum(counts.values()) == 4000
-    assert abs(counts["Bob"] - 3000) < 150
+    assert (counts["Ann"] - 1000) ** 2 / 1000 + (counts["Bob"] - 3000) ** 2 / 3000 < 10.8  # chi-square, one degree, 0.1 %
+    assert names.NameTable(names.name_intervals(dictionary.limit(0))).starts == []
 
 
 def test_labels_and_flags(spark):
