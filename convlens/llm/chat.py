@@ -42,7 +42,8 @@ def fingerprint(paths: Iterable[str]) -> str:
 
 
 MAPPINGS = {fingerprint(paths): mapping for paths, mapping in LAYOUTS.values()}
-KNOWN_PATHS = {p for paths, _ in LAYOUTS.values() for p in paths}
+#: Field paths of the layouts, the largest first; layouts of one size in the order above.
+SHAPES = sorted((frozenset(paths) for paths, _ in LAYOUTS.values()), key=len, reverse=True)
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> set[str]:
@@ -64,8 +65,12 @@ def value_paths(value, at: str = "") -> set[str]:
 
 
 def mapping_of(paths: set[str]) -> dict | None:
-    """The mapping of the layout whose paths these are; fields that no layout has do not count."""
-    return MAPPINGS.get(fingerprint(paths & KNOWN_PATHS))
+    """The mapping of the largest layout whose paths are all present; the first of `LAYOUTS` among equals.
+
+    Other fields do not count, whatever layout their names belong to.
+    """
+    shape = next((s for s in SHAPES if s <= paths), None)
+    return None if shape is None else MAPPINGS[fingerprint(shape)]
 
 
 def _role(role: Column) -> Column:
@@ -84,7 +89,8 @@ def canonical(df: DataFrame, id_col: str) -> DataFrame:
 
     Null texts are empty, null roles the empty role. A null or empty array gives
     no turns; null prompts and answers give empty turns. Extra columns do not
-    matter. A schema that no layout fits raises.
+    matter, also where their names belong to another layout: the largest layout
+    that is whole decides. A schema that no layout fits raises.
     """
     paths = schema_paths(T.StructType([f for f in df.schema.fields if f.name != id_col]))
     mapping = mapping_of(paths)

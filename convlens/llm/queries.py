@@ -169,30 +169,51 @@ def op5_url_filter(spark, folder):
 def op2_license_scan(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
     return found.select(
-        "doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join(F.sort_array("licenses"), " ").alias("licenses")
+        "doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join(F.sort_array("licenses"), " ").alias("licenses"), "license"
     )
 
 
 def _license_sql() -> str:
+    """Lines as rows: those of a paragraph are put together again by a running count of its breaks."""
     known = ", ".join(f"('{s}', '{n}')" for n, s in licenses.SENTENCES.items())
-    rules = ", ".join(f"('{n}', ' {' '.join(r)} ')" for n, r in licenses.RULES)
+    rules = ", ".join(f"({i}, '{n}', ' {' '.join(r)} ')" for i, (n, r) in enumerate(licenses.RULES))
+    leader = r"^[ \t]*(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--+|dnl\b|rem\b)[ \t]*"
+    heads = "mit|isc|apache|bsd|gnu [a-z ]*general public|mozilla public|eclipse public"
     return rf"""
-WITH known(sentence, id) AS (VALUES {known}), rules(name, run) AS (VALUES {rules}),
+WITH known(sentence, id) AS (VALUES {known}), rules(place, name, run) AS (VALUES {rules}),
+tagged AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '(?i)(SPDX-License-Identifier):[ \t]*', '\1 ', 'g') AS text FROM documents),
+lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS nr, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS l FROM tagged)),
+bare AS (
+  SELECT doc_id, nr, regexp_replace(line, '{leader}', '') AS line,
+         coalesce(lag(regexp_matches(line, '{leader}')) OVER (PARTITION BY doc_id ORDER BY nr), false) AND NOT regexp_matches(line, '{leader}') AS torn
+  FROM lines),
+kinds AS (
+  SELECT *, regexp_full_match(line, '[ \t]*') AS blank,
+         regexp_full_match(line, '(?i)[ \t]*((?:copyright[ \t]+(?:\(c\)|(?:19|20)[0-9][0-9])|\(c\)|all rights reserved|spdx-license-identifier).*|(?:the )?(?:{heads}) licen[cs]e(?: \(mit\)| \(isc\))?[ \t]*)') AS alone
+  FROM bare),
+grouped AS (
+  SELECT doc_id, nr, line, blank,
+         sum(CAST(blank OR alone OR torn AS INTEGER)) OVER w + coalesce(sum(CAST(alone AS INTEGER)) OVER b, 0) AS part
+  FROM kinds WINDOW w AS (PARTITION BY doc_id ORDER BY nr), b AS (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+joined AS (SELECT doc_id, min(nr) AS nr, string_agg(line, ' ' ORDER BY nr) AS t FROM grouped WHERE NOT blank GROUP BY doc_id, part),
 texts AS (
-  SELECT doc_id, 1 AS way, coalesce(text, '') AS t FROM documents
-  UNION ALL SELECT doc_id, 2, translate(coalesce(text, ''), chr(13) || chr(10), '  ') FROM documents),
+  SELECT doc_id, 1 AS way, 0 AS nr, text AS t FROM tagged
+  UNION ALL SELECT doc_id, 2, nr, t FROM joined),
 cut AS (
-  SELECT doc_id, way, unnest(range(len(s))) AS pos, unnest(s) AS sentence
-  FROM (SELECT doc_id, way, string_split(regexp_replace(t, '[.!?;:]+[\x20\x09-\x0D]+', chr(10), 'g'), chr(10)) AS s FROM texts)),
+  SELECT doc_id, way, nr, unnest(range(len(s))) AS pos, unnest(s) AS sentence
+  FROM (SELECT doc_id, way, nr, string_split(regexp_replace(t, '[.!?;:]+[ 	-
+]+', chr(10), 'g'), chr(10)) AS s FROM texts)),
 hits AS (
-  SELECT doc_id, way, pos, id FROM cut JOIN known
+  SELECT doc_id, way, nr, pos, id FROM cut JOIN known
     ON trim(regexp_replace(lower(cut.sentence), '[^a-z0-9]+', ' ', 'g')) = known.sentence),
-runs AS (SELECT doc_id, way, string_agg(id, ' ' ORDER BY pos) AS ids, count(*) AS n FROM hits GROUP BY doc_id, way),
+runs AS (SELECT doc_id, way, string_agg(id, ' ' ORDER BY nr, pos) AS ids, count(*) AS n FROM hits GROUP BY doc_id, way),
 named AS (
-  SELECT doc_id, string_agg(DISTINCT name, ' ' ORDER BY name) AS licenses
+  SELECT doc_id, string_agg(DISTINCT name, ' ' ORDER BY name) AS licenses, arg_min(name, place - 1000 * way) AS license
   FROM runs JOIN rules ON contains(' ' || ids || ' ', run) GROUP BY doc_id),
 longest AS (SELECT doc_id, arg_max(ids, n * 10 - way) AS ids FROM runs GROUP BY doc_id)
-SELECT d.doc_id, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses
+SELECT d.doc_id, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses, license
 FROM documents d LEFT JOIN longest USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 

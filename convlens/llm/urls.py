@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.session import stage
@@ -96,8 +98,38 @@ def _with_rates(rows: DataFrame, rates: dict[str, DataFrame], prior: float) -> D
     return rows
 
 
+def _with_own_rates(train: DataFrame, prior: float, weight: float) -> DataFrame:
+    """Training rows with the rates of the other folds' rows, so that no row sees its own label."""
+    for key in ("suffix", "domain"):
+        fold, whole = Window.partitionBy(key, "_fold"), Window.partitionBy(key)
+        bad = F.sum("_bad").over(whole) - F.sum("_bad").over(fold)
+        n = F.count("*").over(whole) - F.count("*").over(fold)
+        train = train.withColumn(f"{key}_rate", (bad + prior * weight) / (n + weight))
+    return train
+
+
+def threshold_of(held: list[tuple[float, float]], odds: float) -> float:
+    """The lowest margin above which a bad held-out url is `odds` times as likely as a good one; infinity if there is none.
+
+    `held` lists (margin, bad). Shares are taken in each class, so the labels'
+    balance does not matter, and one good url more than was seen is counted, so a
+    few rows prove nothing. Rows of one margin go together.
+    """
+    n_bad = sum(y for _, y in held)
+    n_good = len(held) - n_bad
+    best, bad, good = math.inf, 0.0, 0.0
+    ordered = sorted(held, reverse=True)
+    for i, (margin, own) in enumerate(ordered):
+        bad, good = bad + own, good + 1 - own
+        last = i + 1 == len(ordered) or ordered[i + 1][0] < margin
+        if last and n_bad and bad / n_bad >= odds * (good + 1) / (n_good + 1):
+            below = ordered[i + 1][0] if i + 1 < len(ordered) else margin - 1
+            best = (margin + below) / 2
+    return best
+
+
 def _margin(trees, names: Sequence[str]) -> Column:
-    """The sum of the fitted trees as one expression over the columns of the features: above 0 means bad."""
+    """The sum of the fitted trees as one expression over the columns of the features: the higher, the more likely bad."""
 
     def of_node(node) -> Column:
         if node.subtreeDepth() == 0:
@@ -110,52 +142,91 @@ def _margin(trees, names: Sequence[str]) -> Column:
     return sum(parts[1:], parts[0])
 
 
-def judge(
-    pages: DataFrame,
-    labelled: DataFrame,
-    rules: Sequence[tuple[str, str]],
-    id_col: str = "page_id",
-    url: str = "url",
-    max_rows: int = 10_000,
-    rounds: int = 10,
-    depth: int = 3,
-    smoothing: float = 20.0,
-) -> DataFrame:
-    """(id, host, path, rule, verdict) of every page.
+#: Folds of the labelled urls; the first one is held out to set the threshold.
+FOLDS = 5
 
-    `labelled` has `url` and `bad` (0 or 1). At most `max_rows` of its rows, those
-    with the lowest hash of their url, train the trees and the suffix rates; the
-    trees judge every url. A null url has empty host and path and features of 0.
-    Where the labels hold one class only, that class is the verdict; without
-    labels, allow. Repeated pages each keep their row. Extra columns are not read.
+
+@dataclass
+class Judge:
+    """Fitted trees as a column, the rates they read, and what was measured on held-out urls."""
+
+    margin: Column
+    rates: dict[str, DataFrame]
+    prior: float
+    threshold: float
+    held_bad: int
+    held_good: int
+    caught: int
+    mistaken: int
+
+
+def fit(labelled: DataFrame, max_rows: int = 10_000, rounds: int = 10, depth: int = 3, smoothing: float = 20.0,
+        odds: float = 9.0) -> Judge | str:
+    """Fit trees on labelled urls, or give the verdict where there is one class only (`allow` without labels).
+
+    At most `max_rows` rows, those with the lowest hash of their url, are used;
+    one in `FOLDS` is held out. Classes weigh the same. The threshold is set on
+    the held-out urls (`threshold_of`); where the labels hold no lexical signal
+    it is infinite and nothing is blocked. Rows with a null url or label are left
+    out; repeated rows count each.
     """
     u = F.col("_url")
-    parts = pages.select(F.col(id_col), F.col(url).alias("_url"))
-    parts = parts.withColumns({"host": host_of(u), "path": path_of(u)})
     known = labelled.select(F.col("url").alias("_url"), F.col("bad").cast("double").alias("_bad")).dropna()
     known = known.orderBy(F.xxhash64("_url"), "_url", "_bad").limit(max_rows)
-    known = known.withColumns({"host": host_of(u), "path": path_of(u)})
-    train = stage(known.select("_bad", *[c.alias(n) for n, c in lexical(u, F.col("host"), F.col("path")).items()]))
-    n, bad = train.agg(F.count("*"), F.coalesce(F.sum("_bad"), F.lit(0.0))).first()
-    ruled = parts.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    kept = [F.col(id_col), "host", "path", F.col("_rule.rule").alias("rule")]
+    known = known.withColumns({"host": host_of(u), "path": path_of(u), "_fold": F.pmod(F.xxhash64("_url", F.lit("fold")), F.lit(FOLDS))})
+    rows = stage(known.select("_bad", "_fold", *[c.alias(n) for n, c in lexical(u, F.col("host"), F.col("path")).items()]))
+    n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("_bad"), F.lit(0.0))).first()
     if bad in (0, n):
-        whole = F.lit("block" if n and bad else "allow")
-        return ruled.select(*kept, F.coalesce(F.col("_rule.verdict"), whole).alias("verdict"))
+        return "block" if n and bad else "allow"
+    train, held = rows.filter("_fold > 0"), rows.filter("_fold = 0")
+    n, bad = train.agg(F.count("*"), F.coalesce(F.sum("_bad"), F.lit(0.0))).first()
+    if bad in (0, n):  # too few rows to hold any out
+        train, (n, bad) = rows, rows.agg(F.count("*"), F.sum("_bad")).first()
     prior = bad / n
     rates = {key: stage(_rates(train, key, prior, smoothing)) for key in ("suffix", "domain")}
+    weight = F.when(F.col("_bad") == 1, n / (2 * bad)).otherwise(n / (2 * (n - bad)))
     pack = VectorAssembler(inputCols=list(LEXICAL), outputCol="_features", handleInvalid="keep")
+    ready = pack.transform(_with_own_rates(train, prior, smoothing)).select("_features", "_bad", weight.alias("_weight"))
     trees = GBTClassifier(
-        featuresCol="_features", labelCol="_bad", predictionCol="_bad_guess", maxIter=rounds, maxDepth=depth, seed=7,
-    ).fit(pack.transform(_with_rates(train, rates, prior)).select("_features", "_bad"))
+        featuresCol="_features", labelCol="_bad", predictionCol="_bad_guess", weightCol="_weight", maxIter=rounds, maxDepth=depth, seed=7,
+    ).fit(ready)
+    margin = _margin(trees, LEXICAL)
+    judged = [(r["m"], r["_bad"]) for r in _with_rates(held, rates, prior).select(margin.alias("m"), "_bad").collect()]
+    limit = threshold_of(judged, odds)
+    above = [y for m, y in judged if m > limit]
+    return Judge(margin, rates, prior, limit, int(sum(y for _, y in judged)), sum(y == 0 for _, y in judged), int(sum(above)), above.count(0.0))
+
+
+def judge(
+    pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url: str = "url", **options
+) -> DataFrame:
+    """(id, host, path, rule, verdict) of every page: the longest fitting rule's verdict, else that of the trees.
+
+    `labelled` has `url` and `bad` (0 or 1); `options` go to `fit`. A null url has
+    empty host and path and features of 0. Repeated pages each keep their row.
+    Extra columns are not read.
+    """
+    u = F.col("_url")
+    parts = pages.select(F.col(id_col), F.col(url).alias("_url"))
+    parts = parts.withColumns({"host": host_of(u), "path": path_of(u)})
+    ruled = parts.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    kept = [F.col(id_col), "host", "path", F.col("_rule.rule").alias("rule")]
+    fitted = fit(labelled, **options)
+    if isinstance(fitted, str):
+        return ruled.select(*kept, F.coalesce(F.col("_rule.verdict"), F.lit(fitted)).alias("verdict"))
     ready = ruled.withColumns(lexical(u, F.col("host"), F.col("path")))
-    judged = _with_rates(ready, rates, prior)
-    own = F.when(_margin(trees, LEXICAL) > 0, F.lit("block")).otherwise(F.lit("allow"))
+    judged = _with_rates(ready, fitted.rates, fitted.prior)
+    own = F.when(fitted.margin > fitted.threshold, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(*kept, F.coalesce(F.col("_rule.verdict"), own).alias("verdict"))
 
 
 def numbered_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(url, bad) of the pages whose address ends in the number of a labelled document: bad means low quality."""
+    """(url, bad) of the pages whose address ends in the number of a labelled document: bad means low quality.
+
+    A page without such a number, or whose document has no label, gives no row; a
+    null quality gives a null `bad`. Repeated pages and labels give a row for
+    each match.
+    """
     number = F.regexp_extract(F.coalesce("url", F.lit("")), r"/([0-9]{1,18})(?:[^0-9/].*)?/?$", 1)
     numbered = pages.select("url", F.when(number != "", number.cast("bigint")).alias("_n"))
     return numbered.join(labels.select(F.col("doc_id").alias("_n"), F.col("quality").alias("_q")), "_n").select(

@@ -275,6 +275,36 @@ def test_tree_expression_gives_the_fitted_model(spark):
     assert all(r.guess == r.own for r in both)
 
 
+def test_threshold_from_held_out_rows(spark):
+    """Brute force over all cuts; no signal blocks nothing."""
+    rng = random.Random(6)
+    for _ in range(50):
+        held = [(rng.randrange(8) / 4, float(rng.random() < 0.4)) for _ in range(rng.randrange(1, 30))]
+        limit, nb, ng = urls.threshold_of(held, 3.0), sum(y for _, y in held), sum(1 - y for _, y in held)
+        share = lambda c: sum(y for x, y in held if x >= c) / nb - 3 * (sum(1 - y for x, y in held if x >= c) + 1) / (ng + 1)
+        cuts = [m for m in {m for m, _ in held} if nb and share(m) >= 0]
+        assert {m for m, _ in held if m > limit} == {m for m, _ in held if cuts and m >= min(cuts)}
+    noise = spark.createDataFrame([(f"http://h{rng.randrange(5)}.org/{rng.randrange(10**6)}", int(rng.random() < 0.15)) for _ in range(600)], "url string, bad int")
+    fitted = urls.fit(noise)
+    assert fitted.mistaken <= 0.05 * fitted.held_good and fitted.held_bad + fitted.held_good > 60
+
+
+def test_rates_do_not_see_their_own_fold(spark):
+    rows = [("com", "a.com", f, float(b)) for f, b in [(0, 1), (0, 1), (1, 0), (2, 0), (2, 1)]]
+    df = spark.createDataFrame(rows, "suffix string, domain string, _fold int, _bad double")
+    got = sorted((r._fold, r.suffix_rate) for r in urls._with_own_rates(df, 0.5, 2.0).collect())
+    want = {0: (1 + 1) / 5, 1: (3 + 1) / 6, 2: (2 + 1) / 5}
+    assert all(math.isclose(rate, want[f]) for f, rate in got)
+
+
+def test_numbered_labels(spark):
+    """Numbers at the end of an address; null urls and qualities, labels without a page, repeated rows."""
+    pages = spark.createDataFrame([("http://x/a/12",), ("http://x/13.html",), ("http://x/14/",), ("http://x/no",), (None,), ("http://x/a/12",), ("http://x/15",)], "url string")
+    labels = spark.createDataFrame([(12, 0), (13, 1), (14, None), (99, 0)], "doc_id long, quality int").withColumn("url", F.lit("mine"))
+    got = sorted(((r.url, r.bad) for r in urls.numbered_labels(pages, labels).collect()), key=str)
+    assert got == sorted([("http://x/a/12", 1), ("http://x/a/12", 1), ("http://x/13.html", 0), ("http://x/14/", None)], key=str)
+
+
 def test_lexical_features(spark):
     df = spark.createDataFrame([("http://a-b.x.com/p/q1?k=1&l=2#f",), ("",), (None,)], "url string")
     u = F.col("url")

@@ -67,6 +67,23 @@ def test_layouts_by_schema(spark):
     assert rows(spark.createDataFrame([(1, "hi", "yo")], "id int, prompt string, completion string")) == want
     with pytest.raises(ValueError):
         chat.canonical(spark.createDataFrame([(1, "hi")], "id int, something string"), "id")
+    with pytest.raises(ValueError):
+        chat.canonical(spark.createDataFrame([(1, "hi")], "id int, prompt string"), "id")
+
+
+@pytest.mark.parametrize("extra", ["prompt", "response", "input", "system", "instruction", "output", "text", "messages", "context"])
+def test_columns_of_other_layouts_do_not_matter(spark, extra):
+    """The largest layout that is whole decides, in tables and in records."""
+    rows = lambda df: sorted((r.turn, r.role, r.text) for r in chat.canonical(df, "id").collect())
+    want = [(0, "user", "hi"), (1, "assistant", "yo")]
+    if extra != "text":
+        turns = spark.createDataFrame([(1, 0, "user", "hi", "x"), (1, 1, "assistant", "yo", None)], f"id int, turn int, role string, text string, {extra} string")
+        assert rows(turns) == want
+    if extra != "messages":
+        listed = spark.createDataFrame([(1, [("user", "hi"), ("assistant", "yo")], "x")], f"id int, messages array<struct<role:string,content:string>>, {extra} string")
+        assert rows(listed) == want
+        record = {"messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}], extra: "x"}
+        assert chat.record_turns(json.dumps(record)) == [t[1:] for t in want]
 
 
 def test_layouts_of_json_records(spark):
