@@ -91,6 +91,19 @@ class Tables:
             F.exists("_m", lambda m: m["short"]).alias("redacted"),
         )
 
+    def chat_facts(self) -> DataFrame:
+        """What the filters ask of the same chats, from message rows: no text is grouped."""
+        text, low = F.col("text"), F.lower("text")
+        bad = low.contains("hate") | low.contains("stst") | low.contains("blewh")
+        rows = self.texts("conversations").select(
+            F.col("conv_id").alias("conversation_id"), "turn", F.substring(tagged_text(), 10, 1).alias("_m"), (F.col("role") == "user").alias("_u"),
+            F.concat(F.lit(" "), low, F.lit(" ")).contains(" the ").alias("_e"), bad.alias("_b"), (F.length(text) < 40).alias("_s"),
+        )
+        return rows.groupBy("conversation_id").agg(
+            F.concat(F.lit("model-"), F.min_by("_m", "turn")).alias("model"), F.count_if("_u").alias("n_user_turns"),
+            F.when(F.bool_or("_e"), "English").otherwise("other").alias("language"), (~F.bool_or("_b")).alias("clean"), F.bool_or("_s").alias("redacted"),
+        )
+
     def names(self) -> DataFrame:
         """Nations as a name dictionary."""
         return self("nation").select(

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, SQL_SPACE, SQL_WORD, TAGGED, query, r6, tagged_text
+from convlens.catalog.texts import sql_norm
 from convlens.functions import columns as B
 from convlens.functions import conversation as C
 from convlens.functions import text as TX
-from convlens.operators import names, profile
+from convlens.operators import embeddings, messages, names, profile
 from convlens.sources import readers
 
 
@@ -40,11 +41,7 @@ SELECT conv_id, CAST(sum(len(regexp_extract_all(text, '{SQL_WORD}'))) AS BIGINT)
        count(*) FILTER (role = 'user') AS n_user_turns
 FROM conversations GROUP BY conv_id""")
 def conversation_lengths(t):
-    c = F.col("conversation")
-    return t.nested().select(
-        "conv_id", C.n_words(c).cast("bigint").alias("n_words"), C.n_chars(c).cast("bigint").alias("n_chars"),
-        C.n_turns(c).cast("bigint").alias("n_turns"), C.n_user_turns(c).cast("bigint").alias("n_user_turns"),
-    )
+    return messages.sizes(t.texts("conversations"), "conv_id")
 
 
 @query("moderation_flags", f"""
@@ -56,11 +53,13 @@ SELECT conv_id AS conversation_id, CAST(bool_or(flagged) AS INTEGER) AS harm,
        CAST(NOT bool_or(harassment OR self_harm OR violence) AS INTEGER) AS clean
 FROM messages GROUP BY conv_id""")
 def moderation_flags(t):
-    m = F.col("openai_moderation")
-    return t.chats().select(
-        "conversation_id", C.any_flagged(m).cast("int").alias("harm"),
-        F.array_join(C.flagged_categories(m), ",").alias("flagged_categories"),
-        C.is_clean(m).cast("int").alias("clean"),
+    text, low = F.col("text"), F.lower("text")
+    rows = t.texts("conversations").withColumnRenamed("conv_id", "conversation_id")
+    categories = {"harassment": low.contains("hate"), "self-harm": low.contains("stst"), "violence": low.contains("blewh")}
+    found = messages.moderation(rows, "conversation_id", low.contains("hate") | (F.length(text) > 1200), categories)
+    return found.select(
+        "conversation_id", F.col("harm").cast("int").alias("harm"), F.array_join("flagged_categories", ",").alias("flagged_categories"),
+        F.col("clean").cast("int").alias("clean"),
     )
 
 
@@ -74,12 +73,59 @@ SELECT conv_id, count(text) AS n_user_turns,
                       '^[{SQL_SPACE}]+|[{SQL_SPACE}]+$', '', 'g') AS topic_text
 FROM ids LEFT JOIN u USING (conv_id) GROUP BY conv_id""")
 def user_turn_first_last(t):
-    turns = t.nested().select("conv_id", C.user_turns(F.col("conversation")).alias("u"))
-    u = F.col("u")
-    return turns.select(
-        "conv_id", F.size(u).cast("bigint").alias("n_user_turns"), TX.char_count(C.first_turn(u)).alias("first_len"),
-        TX.char_count(C.last_turn(u)).alias("last_len"), C.first_nonblank_turn(u).alias("topic_text"),
-    )
+    return messages.user_turns(t.texts("conversations"), "conv_id")
+
+
+@query("topic_texts", f"""
+WITH u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user' AND regexp_matches(text, '[^{SQL_SPACE}]') AND length(text) < 120)
+SELECT conv_id, regexp_replace(first(text ORDER BY turn), '^[{SQL_SPACE}]+|[{SQL_SPACE}]+$', '', 'g') AS topic_text FROM u GROUP BY conv_id""")
+def topic_texts(t):
+    """Long turns count as blank here, so that some conversations have none left and are dropped."""
+    rows = t.texts("conversations").withColumn("text", F.when(F.length("text") < 120, F.col("text")))
+    return messages.topic_texts(rows, "conv_id")
+
+
+@query("dedup_against_last_turns", f"""
+WITH u AS (SELECT conv_id, turn, {sql_norm('text')} AS k FROM conversations WHERE role = 'user' AND length(text) > 0),
+seen AS (SELECT last(k ORDER BY turn) AS k FROM u GROUP BY conv_id)
+SELECT conv_id, turn FROM u WHERE k NOT IN (SELECT k FROM seen)""")
+def dedup_against_last_turns(t):
+    talks = t.texts("conversations")
+    asked = talks.filter("role = 'user' AND length(text) > 0").select("conv_id", "turn", "text")
+    return messages.drop_seen_turns(asked, "text", talks, "conv_id", last=True).select("conv_id", "turn")
+
+
+TOPICS = ("health", "privacy", "work", "money", "school")
+
+
+# Token vectors from digests; the first user turn is compared with the words of the topics.
+@query("topic_shares", f"""
+WITH labels AS (SELECT unnest({list(TOPICS)}) AS label),
+u AS (SELECT conv_id, first(text ORDER BY turn) AS text FROM conversations WHERE role = 'user' AND regexp_matches(text, '[^{SQL_SPACE}]') GROUP BY conv_id),
+d AS (SELECT range AS i FROM range(8)),
+w AS (SELECT conv_id, md5(unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))) AS h FROM u),
+v AS (SELECT conv_id, i, CAST(avg(CAST('0x' || substr(h, 4 * i + 1, 4) AS BIGINT) / 65535.0 - 0.5) AS FLOAT) AS x FROM w, d GROUP BY conv_id, i),
+l AS (SELECT label, i, CAST(CAST('0x' || substr(md5(label), 4 * i + 1, 4) AS BIGINT) / 65535.0 - 0.5 AS FLOAT) AS y FROM labels, d),
+c AS (SELECT conv_id, label, sum(CAST(x AS DOUBLE) * y) / sqrt(sum(CAST(x AS DOUBLE) * x)) / sqrt(sum(CAST(y AS DOUBLE) * y)) AS cos
+      FROM v JOIN l USING (i) GROUP BY conv_id, label),
+best AS (SELECT conv_id, label FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cos DESC, label) AS k FROM c) WHERE k = 1),
+talks AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id)
+SELECT label AS topic, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct, CAST(sum(turns) AS BIGINT) AS turns
+FROM best JOIN talks USING (conv_id) GROUP BY label""")
+def topic_shares(t):
+    """Topic of each conversation, joined to it, and the topics' distribution."""
+    def load():
+        return embeddings.HashedTokens(8)
+
+    texts = messages.topic_texts(t.texts("conversations"), "conv_id")
+    vectors = embeddings.embed_tokens(texts, "conv_id", "topic_text", load, "hashed")
+    named = t.spark.createDataFrame([(x,) for x in TOPICS], "label string")
+    labels = embeddings.embed_tokens(named, "label", "label", load, "hashed").select("label", F.col("embedding").alias("vector"))
+    near = embeddings.nearest_label(vectors, "embedding", labels, "label").select("conv_id", F.col("nearest").alias("topic"))
+    talks = t("conversations").groupBy("conv_id").agg(F.count("*").alias("turns"))
+    counts = near.join(talks, "conv_id").groupBy("topic").agg(F.count("*").alias("n"), F.sum("turns").alias("turns"))
+    whole = counts.agg(F.sum("n")).scalar()
+    return counts.select("topic", "n", F.round(100.0 * F.col("n") / whole, 1).alias("pct"), "turns")
 
 
 @query("message_role_lengths", """
@@ -89,8 +135,7 @@ SELECT role, count(*) AS "count", round(avg(length(text)), 6) AS mean, round(std
        max(length(text)) AS "max"
 FROM conversations GROUP BY role""")
 def message_role_lengths(t):
-    rows = t.nested().select(F.inline("conversation")).select("role", F.length("content").alias("n"))
-    d = profile.describe(rows, "n", ["role"])
+    d = profile.describe(t("conversations").select("role", F.length("text").alias("n")), "n", ["role"])
     return d.select("role", "count", r6("mean").alias("mean"), r6("std").alias("std"), "min",
                     *[r6(c).alias(c) for c in ("p25", "p50", "p75")], "max")
 
@@ -170,7 +215,8 @@ SELECT count(*) AS scanned, count(*) FILTER (language = 'English') AS english,
        least(count(*) FILTER (language = 'English' AND turn >= 2 AND NOT any_bad AND NOT redacted), 5) AS kept
 FROM (SELECT *, NOT clean AS any_bad FROM chats)""")
 def filter_funnel(t):
-    return readers.filter_funnel(t.chats(), min_turns=2, target=5)
+    facts = t.chat_facts()
+    return readers.funnel(facts, readers.chat_stages(2), 5)
 
 
 @query("clean_dialogues", f"""
@@ -178,5 +224,5 @@ WITH {CHATS}
 SELECT conversation_id, model, turn AS n_user_turns FROM chats
 WHERE language = 'English' AND turn >= 3 AND clean AND NOT redacted""")
 def clean_dialogues(t):
-    kept = readers.clean_dialogues(t.chats(), min_turns=3)
-    return kept.select("conversation_id", "model", F.col("n_user_turns").cast("bigint").alias("n_user_turns"))
+    kept = t.chat_facts().filter(readers.chat_stages(3)["clean"])
+    return kept.select("conversation_id", "model", F.col("n_user_turns"))

@@ -167,16 +167,16 @@ WITH {SCORED}, r AS (
   SELECT s.doc_id, s.score, s.harm, s.pred, s.source, d.text, s.adversarial,
          CASE WHEN s.harm = 1 THEN 'miss' ELSE 'false alarm' END AS kind,
          row_number() OVER (PARTITION BY s.harm ORDER BY CASE WHEN s.harm = 1 THEN s.score ELSE -s.score END, s.doc_id) AS k
-  FROM scored s JOIN documents d USING (doc_id) WHERE s.pred <> s.harm AND contains(d.text, 'e') AND s.n_chars < 20000)
+  FROM scored s JOIN documents d USING (doc_id) WHERE s.pred <> s.harm)
 SELECT kind, doc_id, '[WRONG]  p(harmful)=' || format('{{:.2f}}', score) || '  true=' || harm || '  ' || source || '  adversarial=' || adversarial AS headline,
        substr(text, 1, 260) AS shown FROM r WHERE k <= 5""")
 def error_examples(t):
-    scored = t.scored().filter("pred <> harm AND n_chars < 20000").join(t("documents").select("doc_id", "text"), "doc_id")
-    wrong = scored.filter(F.contains("text", F.lit("e")))
+    wrong = t.scored().filter("pred <> harm")
     misses = wrong.filter("harm = 1").orderBy("score", "doc_id").limit(5).withColumn("kind", F.lit("miss"))
     alarms = wrong.filter("harm = 0").orderBy(F.desc("score"), "doc_id").limit(5).withColumn("kind", F.lit("false alarm"))
+    shown = misses.unionByName(alarms).join(t("documents").select("doc_id", "text"), "doc_id")
     headline = F.format_string("[WRONG]  p(harmful)=%.2f  true=%d  %s  adversarial=%s", "score", "harm", "source", F.col("adversarial").cast("string"))
-    return misses.unionByName(alarms).select("kind", "doc_id", headline.alias("headline"), B.excerpt(F.col("text"), 260).alias("shown"))
+    return shown.select("kind", "doc_id", headline.alias("headline"), B.excerpt(F.col("text"), 260).alias("shown"))
 
 
 @query("dataset_comparison", f"""

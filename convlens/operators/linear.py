@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens import constants as K
@@ -40,8 +40,8 @@ def features(counts: DataFrame, words: DataFrame, id_col: str, sublinear: bool =
     """(id, term_id, x): weights of known terms, of unit length per document. Works for any table's counts."""
     tf = 1 + F.ln("tf") if sublinear else F.col("tf")
     raw = counts.join(words.select("term", "term_id", "idf"), "term").select(F.col(id_col).alias("id"), "term_id", (tf * F.col("idf")).alias("_x"))
-    norms = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_n"))
-    return raw.join(norms, "id").select("id", "term_id", (F.col("_x") / F.col("_n")).alias("x"))
+    norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy("id")))
+    return raw.select("id", "term_id", (F.col("_x") / norm).alias("x"))
 
 
 def shares(rows: DataFrame, id_col: str, label: str, balanced: bool = True) -> DataFrame:

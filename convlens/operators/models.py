@@ -148,9 +148,13 @@ def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs
         n = ready.count()
         for c in strengths:
             model = logistic(label, c, n).fit(ready)
+            if model.summary.totalIterations >= model.getMaxIter():
+                raise RuntimeError(f"not converged after {model.getMaxIter()} iterations")
             rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, unseen), label)})
         ready.unpersist()
         unseen.unpersist()
+    train.unpersist()
+    val.unpersist()
     return train.sparkSession.createDataFrame(rows)
 
 

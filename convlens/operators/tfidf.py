@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.functions import text as TX
@@ -28,7 +28,7 @@ def tfidf(df: DataFrame, id_col: str, tokens: Column, max_n: int = 2, min_df: in
     """(id, term, weight), L2-normalised per document.
 
     A frequent term meets its one vocabulary row; AQE splits the partition such
-    a term fills, since the join needs no order afterwards.
+    a term fills. A document's terms then meet once, for their norm.
     """
     n_docs = df.agg(F.count("*")).scalar()
     counts = term_counts(df, id_col, tokens, max_n)
@@ -36,8 +36,8 @@ def tfidf(df: DataFrame, id_col: str, tokens: Column, max_n: int = 2, min_df: in
     weighted = counts.join(idf(counts, n_docs, min_df, max_df), "term").select(
         id_col, "term", (tf * F.col("idf")).alias("_w")
     )
-    norms = weighted.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weighted.join(norms, id_col).select(id_col, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    return weighted.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

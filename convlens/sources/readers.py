@@ -14,7 +14,7 @@ from convlens import session
 from convlens.functions import conversation as C
 from convlens.functions import columns as B
 
-__all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview", "with_row_ids", "scan_until", "finished"]
+__all__ = ["read_parquet", "spread", "read_csv", "read_json_lines", "read_names", "read_embeddings", "read_split", "clean_dialogues", "filter_funnel", "preview", "with_row_ids", "scan_until", "finished", "chat_stages", "funnel"]
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, ordered: bool = False) -> DataFrame:
@@ -179,6 +179,20 @@ def filter_funnel(df: DataFrame, min_turns: int = 3, language: str = "English",
     return counts.withColumn("kept", B.clip(F.col("clean"), upper=target) if target is not None else F.col("clean"))
 
 
+def chat_stages(min_turns: int = 3, language: str = "English") -> dict[str, Column]:
+    """The cumulative conditions over facts of chats: language, n_user_turns, clean, redacted."""
+    english = F.coalesce(F.col("language") == language, F.lit(False))
+    long = english & (F.col("n_user_turns") >= min_turns)
+    return {"english": english, "long": long, "clean": long & F.col("clean") & ~F.coalesce(F.col("redacted"), F.lit(False))}
+
+
+def funnel(facts: DataFrame, stages: dict[str, Column], target: int | None = None) -> DataFrame:
+    """One row: rows scanned, left after each condition, and kept."""
+    counts = facts.agg(F.count("*").alias("scanned"), *[F.count_if(c).alias(n) for n, c in stages.items()])
+    last = F.col(list(stages)[-1])
+    return counts.withColumn("kept", B.clip(last, upper=target) if target is not None else last)
+
+
 def preview(df: DataFrame, n: int = 3) -> tuple[DataFrame, list[tuple[str, str]]]:
     """The first rows, and the columns with their types."""
     return df.limit(n), df.dtypes
