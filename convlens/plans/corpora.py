@@ -139,9 +139,9 @@ def error_analysis(table: DataFrame, meta: DataFrame, columns: Sequence[str] = (
     model = models.fit_text_model(table.filter("split = 'train'"), "conversation_proc", "harm", strength, min_df=min_df)
     scored = models.score(model, table.filter("split <> 'train'"))
     full = joins.attach(scored, meta, "conversation_id", columns)
-    full = full.withColumns(
+    full = session.stage(full.withColumns(
         {"correct": B.correct(F.col("pred"), F.col("harm")), "error_type": B.error_type(F.col("harm"), F.col("pred"))}
-    ).persist()
+    ))
     return {
         "scored": full,
         "by_split": metrics.subgroup_metrics(full, "harm", "pred", "prob", "split"),
