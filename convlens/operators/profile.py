@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convlens import constants as K
+from convlens import session
 from convlens.functions import columns as B
 from convlens.operators import ranking
 
@@ -60,9 +61,11 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 def describe(df: DataFrame, column: str, by: Sequence[str] = (), probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, quantiles, max; one row per group.
 
-    Quantiles are exact, selected inside the brackets of a sketch.
+    Quantiles are exact, selected inside the brackets of a sketch. The column may
+    be derived from texts, so it is written once and then read in each pass.
     """
-    return _described(df, column, by, probs, ranking.exact_quantiles(df, column, probs, by))
+    held = session.stage(df.select(*by, column))
+    return _described(held, column, by, probs, ranking.exact_quantiles(held, column, probs, by))
 
 
 def _described(df: DataFrame, column: str, by: Sequence[str], probs: Sequence[float], found: DataFrame) -> DataFrame:

@@ -255,7 +255,7 @@ def test_embed_with_encoder(spark):
 
 
 def bucket_sizes(df, column):
-    return [r["count"] for r in df.groupBy(ranking.quantile_bucket(df, column).alias("b")).count().collect()]
+    return [r["count"] for r in df.groupBy(ranking.quantile_bucket(df, column, 500).alias("b")).count().collect()]
 
 
 def test_buckets_of_skewed_values(spark):
@@ -264,7 +264,7 @@ def test_buckets_of_skewed_values(spark):
     assert max(bucket_sizes(with_outlier, "v")) < 20_000 * 0.03
     narrow = ids.withColumn("v", 0.49 + 0.02 * F.col("id") / 20_000)
     assert max(bucket_sizes(narrow, "v")) < 20_000 * 0.03
-    ordered = narrow.withColumn("b", ranking.quantile_bucket(narrow, "v")).groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ordered = narrow.withColumn("b", ranking.quantile_bucket(narrow, "v", 500)).groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     rows = sorted(ordered.collect())
     assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
     assert ids.filter("false").withColumn("b", ranking.quantile_bucket(ids.filter("false"), "v")).count() == 0
