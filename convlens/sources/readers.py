@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,8 +49,8 @@ def scan_until(spark: SparkSession, path: str | Sequence[str], conditions: dict[
 
     `conditions` are cumulative, in order. Files are read by path, in batches of
     `first`, twice as many, and so on, and no file behind the last wanted row's
-    batch is opened. A first narrow pass over a batch finds that row, if the batch
-    holds it; a second one writes what was kept, its counts observed on the way.
+    batch is opened. Narrow passes over a batch find that row, if the batch holds
+    it, and the counts; then what was kept is written.
     Counts are `scanned`, one per condition, and `kept`; rows behind the last one
     wanted are not in them.
 
@@ -85,13 +85,9 @@ def scan_until(spark: SparkSession, path: str | Sequence[str], conditions: dict[
                 inside = (F.col("_file") < last["_file"]) | ((F.col("_file") == last["_file"]) & (F.col("_row") <= last["_row"]))
             counters = [F.count(F.lit(1)).alias("scanned"), *[F.count_if(f"_c_{n}").alias(n) for n in flags]]
             rows = [*source.columns, "_file", "_row"]
-            if cut["n"]:
-                seen = Observation()
-                marked.filter(inside).observe(seen, *counters).filter(held).select(*rows).write.mode("overwrite").parquet(rows_at)
-                found = seen.get
-            else:  # nothing to write, and Spark may have dropped the whole plan
-                marked.limit(0).select(*rows).write.mode("overwrite").parquet(rows_at)
-                found = marked.agg(*counters).first().asDict()
+            # Not observed on the way: a session that has observed a plan can no longer serialise MLlib's functions.
+            found = marked.filter(inside).agg(*counters).first().asDict()
+            marked.filter(inside).filter(held).select(*rows).write.mode("overwrite").parquet(rows_at)
             row = [int(found[n] or 0) for n in ["scanned", *flags]]
             spark.createDataFrame([(*row, row[-1])], ", ".join(f"`{n}` bigint" for n in names)).coalesce(1).write.mode("overwrite").parquet(counts_at)
         for n, v in spark.read.parquet(counts_at).first().asDict().items():
