@@ -62,6 +62,98 @@ def test_later_models_see_earlier_probabilities():
     assert chain.names == ["a", "b"]
 
 
+def newton(x, y, weight, l2):
+    """Weighted logistic regression solved by plain Newton steps, the intercept last and unpenalised."""
+    x, weight = np.hstack([x, np.ones((len(x), 1))]), weight / weight.sum()
+    pen, w = np.r_[np.full(x.shape[1] - 1, l2), 0], np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(pen), x.T @ (weight * (p - y)) + pen * w)
+    return w
+
+
+def brute_category(x, extra, y, weight, l2):
+    ratio = lambda v: math.log((1 + v[y == 1].sum()) / (1 + (y == 1).sum()) / ((1 + v[y == 0].sum()) / (1 + (y == 0).sum())))
+    scale = np.array([abs(ratio(v)) for v in x.T])
+    w = newton(np.hstack([x * scale, extra]), y, weight, l2)
+    return np.r_[w[: len(scale)] * scale, w[len(scale) :]]
+
+
+def test_fits_equal_an_independent_solver():
+    rng = np.random.default_rng(5)
+    x = (rng.random((200, 12)) < 0.3).astype(float)
+    x[3] = 0  # a text without features
+    ys = np.stack([(x[:, j] + x[:, j + 1] + rng.random(200) > 1.3).astype(float) for j in (0, 3, 6)], axis=1)
+    weight = np.where(ys[:, 1] == 1, 0.5, 3.0)
+    got = toxicity.fit_linear(x, ys[:, 0], weight, 1e-3, tolerance=1e-9)
+    assert np.allclose(got, newton(x, ys[:, 0], weight, 1e-3), atol=1e-5)
+    with pytest.raises(RuntimeError):
+        toxicity.fit_linear(x, ys[:, 0], weight, 1e-3, rounds=1)
+    fold, extra, wanted = np.arange(200) % 3, np.empty((200, 0)), []
+    for y in ys.T:
+        wanted.append(brute_category(x, extra, y, weight, 1e-3))
+        held = np.empty(200)
+        for k in range(3):
+            rest = fold != k
+            w = brute_category(x[rest], extra[rest], y[rest], weight[rest], 1e-3)
+            held[~rest] = 1 / (1 + np.exp(-(np.hstack([x, extra])[~rest] @ w[:-1] + w[-1])))
+        extra = np.hstack([extra, held[:, None]])
+    for a, b in zip(toxicity.fit_chain(x, ys, weight, 3, fold, 1e-3, 1000, 1e-9), wanted):
+        assert np.allclose(a, b, atol=1e-4)
+
+
+def test_found_features_equal_the_definition():
+    rng = random.Random(8)
+    texts = [sentence(rng, rng.randrange(0, 80)) + rng.choice(["", " Größe größer", " x" * 9]) for _ in range(60)] + [None, ""]
+    known = sorted(set().union(*map(toxicity.features, texts[:30])))
+    for memory in (toxicity.MEMORY, 50):
+        toxicity.MEMORY, before = memory, toxicity.MEMORY
+        finder = toxicity.Finder(known)
+        for text in texts + texts[::-1]:
+            assert sorted(known[c] for c in finder.columns(text)) == sorted(toxicity.features(text) & set(known))
+        toxicity.MEMORY = before
+
+
+def test_scores_of_a_small_table_by_brute_force(spark):
+    """Every row's probabilities, with clashing columns, repeated ids of several texts and contradicting labels."""
+    rng = random.Random(3)
+    docs = [(i, sentence(rng, 8) + (" vile" if i % 3 == 0 else "") + (" junk" if i % 4 == 0 else "")) for i in range(60)]
+    docs += [(0, "zz another text"), (1, None), (None, "vile"), (61, "")]
+    labels = [(i, int(i % 4 > 0), int(i % 3 == 0)) for i in range(40)] + [(3, 1, 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"_chain": F.lit("own"), "p_toxic": F.lit("old"), "rejected": F.lit("old"), "_text": F.lit(1)}
+    )
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.judge(df, known, l2=1e-3, tolerance=1e-9).collect()
+    assert {r["_chain"] for r in got} == {"own"}
+    texts = {i: min(t for j, t in docs if j == i and t is not None) for i in range(40)}
+    truth = {i: (int(i % 4 == 0), int(i % 3 == 0 and i != 3), int(i % 12 == 0)) for i in range(40)}
+    order = [r["id"] for r in spark.range(40).orderBy(F.xxhash64("id"), "id").collect()]
+    cols = sorted(set().union(*[toxicity.features(texts[i]) for i in order]))
+    row = lambda t: np.isin(cols, list(toxicity.features(t))).astype(float)
+    x, ys = np.array([row(texts[i]) for i in order]), np.array([truth[i] for i in order], float)
+    fold, extra, models = np.arange(40) % 3, np.empty((40, 0)), []
+    for y in ys.T:
+        models.append(brute_category(x, extra, y, np.ones(40), 1e-3))
+        held = np.empty(40)
+        for k in range(3):
+            rest = fold != k
+            w = brute_category(x[rest], extra[rest], y[rest], np.ones(rest.sum()), 1e-3)
+            held[~rest] = 1 / (1 + np.exp(-(np.hstack([x, extra])[~rest] @ w[:-1] + w[-1])))
+        extra = np.hstack([extra, held[:, None]])
+    wanted = []
+    for i, text in docs:
+        p = []
+        for w in models:
+            p.append(1 / (1 + math.exp(-(np.r_[row(text), p] @ w[:-1] + w[-1]))))
+        wanted.append((i is None, i, text or "", p))
+    found = [(r.doc_id is None, r.doc_id, r.text or "", [r.p_low_quality, r.p_toxic, r.p_toxic_low_quality]) for r in got]
+    key = lambda r: (r[0], r[1] or 0, r[2])
+    for a, b in zip(sorted(found, key=key), sorted(wanted, key=key)):
+        assert a[:3] == b[:3] and np.allclose(a[3], b[3], atol=1e-5)
+    assert all(r.rejected == (max(r.p_toxic, r.p_toxic_low_quality) >= 0.4) for r in got)
+
+
 # --- decontamination
 
 
