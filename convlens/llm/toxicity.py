@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Sequence
+from copy import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,14 +118,18 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+#: Places of a sparse table worked on together.
+ENTRIES = 1 << 19
+
+
 class Rows:
     """A sparse table, zero or its column's scale in each place, beside a few dense columns and a constant one at the end."""
 
-    def __init__(self, column: np.ndarray, size: np.ndarray, width: int, extra: np.ndarray | None = None, scale=None):
+    def __init__(self, column: np.ndarray, size: np.ndarray, width: int, extra: np.ndarray | None = None):
         self.column, self.size, self.width = column, size, width
-        self.scale = np.ones(width) if scale is None else scale
         self.row = np.repeat(np.arange(len(size), dtype=np.int32), size)
         self.extra = np.empty((len(size), 0)) if extra is None else extra
+        self.scale = np.ones(width)
 
     @classmethod
     def of(cls, x: np.ndarray | Rows) -> Rows:
@@ -136,24 +141,35 @@ class Rows:
     def __len__(self) -> int:
         return len(self.size)
 
+    def _sums(self, key: np.ndarray, n: int, values: np.ndarray, of: np.ndarray) -> np.ndarray:
+        out = np.zeros(n)
+        for at in range(0, len(key), ENTRIES):  # some at a time, for the memory
+            part = slice(at, at + ENTRIES)
+            out += np.bincount(key[part], values[of[part]], n)
+        return out
+
     def times(self, w: np.ndarray) -> np.ndarray:
-        sparse = np.bincount(self.row, (w[: self.width] * self.scale)[self.column], len(self))
+        sparse = self._sums(self.row, len(self), w[: self.width] * self.scale, self.column)
         return sparse + self.extra @ w[self.width : -1] + w[-1]
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.r_[np.bincount(self.column, g[self.row], self.width) * self.scale, g @ self.extra, g.sum()]
+        return np.r_[self._sums(self.column, self.width, g, self.row) * self.scale, g @ self.extra, g.sum()]
 
     def scaled(self, y: np.ndarray) -> Rows:
         """Columns at the size of their log ratio of frequencies in the two classes, so that telling ones are penalised less."""
-        n = [np.bincount(self.column, (y == k)[self.row], self.width) for k in (0, 1)]
+        n = [self._sums(self.column, self.width, (y == k).astype(float), self.row) for k in (0, 1)]
         shares = [(1 + n[k]) / (1 + (y == k).sum()) for k in (0, 1)]
-        return Rows(self.column, self.size, self.width, self.extra, np.abs(np.log(shares[1] / shares[0])))
+        out = copy(self)
+        out.scale = np.abs(np.log(shares[1] / shares[0]))
+        return out
 
     def take(self, mask: np.ndarray) -> Rows:
         return Rows(self.column[mask[self.row]], self.size[mask], self.width, self.extra[mask])
 
     def beside(self, column: np.ndarray) -> Rows:
-        return Rows(self.column, self.size, self.width, np.hstack([self.extra, column[:, None]]))
+        out = copy(self)
+        out.extra = np.hstack([self.extra, column[:, None]])
+        return out
 
 
 def dot(a: np.ndarray, b: np.ndarray) -> float:
@@ -337,12 +353,17 @@ def fit(
         return Chain([], names, [np.zeros(1 + j) for j in range(len(names))])
     share = {r["_class"]: r["count"] for r in totals.collect()}
     lists = rows["_f"].combine_chunks()
-    known, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-    x = Rows(column.astype(np.int32), np.diff(lists.offsets.to_numpy()), len(known))
+    found = lists.flatten().to_numpy()
+    known = np.unique(found)
+    column = np.empty(len(found), np.int32)
+    for at in range(0, len(found), ENTRIES):
+        column[at : at + ENTRIES] = np.searchsorted(known, found[at : at + ENTRIES])
+    x = Rows(column, np.diff(lists.offsets.to_numpy()), len(known))
     ys = np.stack([rows[n].to_numpy() for n in names], axis=1).astype(float)
     kind = rows["_class"].to_numpy()
     weight = np.select([kind == k for k in share], [n / max((kind == k).sum(), 1) for k, n in share.items()])
-    return Chain(known, names, fit_chain(x, ys, weight, folds, np.arange(len(rows)) % folds, l2, rounds, tolerance))
+    del rows, lists, found  # as large as the sample
+    return Chain(known, names, fit_chain(x, ys, weight, folds, np.arange(len(x)) % folds, l2, rounds, tolerance))
 
 
 #: Categories the given labels hold, in the order of the chain; the last two are toxic. The third is the
