@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
@@ -13,11 +14,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convlens import constants as K
-from convlens.operators import metrics, tfidf
+from convlens import session
+from convlens.functions import text as TX
+from convlens.operators import metrics, row_fit, tfidf
 
 
 class SublinearCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -132,29 +135,69 @@ def score(model, df: DataFrame, threshold: float = K.THRESHOLD) -> DataFrame:
     return out.select(*df.columns, "prob", (F.col("prob") >= threshold).cast("int").alias("pred"))
 
 
+@dataclass
+class TextFit:
+    """Text models that share their rows: the rows with numbers, (row, term, tf), the fit, and its vocabulary sizes by `min_df`."""
+
+    rows: DataFrame
+    terms: DataFrame
+    fit: row_fit.Fit
+    features: dict[int, int]
+    max_df: float = 1.0
+
+    def scored(self, which: int = 0, threshold: float = K.THRESHOLD) -> DataFrame:
+        """The rows with `prob` and `pred` of one of the models."""
+        found = self.fit.rows().filter(F.col("model") == which).select("row", "prob")
+        out = self.rows.join(found, "row").withColumn("pred", (F.col("prob") >= threshold).cast("int"))
+        return out.drop("row", "_fit")
+
+    def weights(self, which: int = 0) -> DataFrame:
+        """(term, weight) of one of the models: a sum over the fitted rows of each term."""
+        model, n = self.fit.models[which], self.rows.filter("_fit").count()
+        coef = self.fit.rows().filter(F.col("model") == which).select("row", "coef")
+        met = self.terms.filter("fit").join(coef, "row")
+        sums = met.groupBy("term").agg(F.count("*").alias("df"), F.sum((1 + F.ln("tf")) * F.col("coef")).alias("_s"))
+        idf = F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1
+        kept = (F.col("df") >= model.min_df) & (F.col("df") <= self.max_df * n)
+        return sums.filter(kept).select("term", (F.col("_s") * idf).alias("weight"))
+
+
+def fit_texts(rows: DataFrame, train: Column, text: str, label: str, settings: Sequence[tuple[int, float]], max_n: int = 2,
+              stop: Sequence[str] = (), max_df: float = 1.0) -> TextFit:
+    """Balanced L2 logistic regressions of TF-IDF features, one per (min_df, C), fitted on the training rows and applied to all.
+
+    The models of `fit_text_model`, solved in the space of rows: the vocabulary
+    stays in the tables, however large it is.
+    """
+    rows = row_fit.numbered(rows).withColumn("_fit", F.coalesce(train, F.lit(False)))
+    found = rows.agg(F.count("*").alias("n"), F.count_if("_fit").alias("fit")).first()
+    flags = rows.select("row", "_fit", text)
+    counts = tfidf.term_counts(flags.withColumn("row", F.struct("row", F.col("_fit").alias("fit"))), "row", TX.term_tokens(F.col(text), stop), max_n)
+    terms = session.stage(counts.select("row.row", "row.fit", "term", "tf"))
+    least = sorted({m for m, _ in settings})
+    blocks = session.stage(row_fit.term_blocks(terms, found["fit"], found["n"], least[0], max_df))
+    share = tfidf.class_weights(rows.filter("_fit"), label).select(F.col(label).alias("_l"), (F.col("weight") / found["fit"]).alias("share"))
+    labels = rows.join(F.broadcast(share), F.col(label) == F.col("_l"), "left").select(
+        "row", F.col(label).alias("y"), F.when(F.col("_fit"), F.col("share")).otherwise(0.0).alias("share")
+    )
+    fit = row_fit.Fit(blocks, labels, found["n"], [row_fit.Model(m, 1.0 / (c * found["fit"])) for m, c in settings])
+    return TextFit(rows, terms, fit, row_fit.n_terms(blocks, least), max_df)
+
+
 def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),
-                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), **features) -> DataFrame:
+                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), max_df: float = 1.0) -> DataFrame:
     """One row of validation metrics per (min_df, C), areas from probabilities.
 
-    Texts are tokenised once, features fitted and kept once per min_df.
+    Texts are tokenised once, and all models are fitted side by side.
     """
-    terms = text_terms(text, max_n, stop)
-    train, val = listed(train, terms, label), listed(val, terms, label)
+    both = train.select(label, text, F.lit(True).alias("_train")).unionByName(val.select(label, text, F.lit(False).alias("_train")))
+    settings = [(m, float(c)) for m in min_dfs for c in strengths]
+    fitted = fit_texts(both, F.col("_train"), text, label, settings, max_n, stop, max_df)
     rows = []
-    for min_df in min_dfs:
-        pipe = term_features(min_df=min_df, **features).fit(train)
-        ready = held(with_class_weights(pipe.transform(train).select(label, "features"), label))
-        unseen = held(pipe.transform(val).select(label, "features"))
-        n = ready.count()
-        for c in strengths:
-            model = logistic(label, c, n).fit(ready)
-            if model.summary.totalIterations >= model.getMaxIter():
-                raise RuntimeError(f"not converged after {model.getMaxIter()} iterations")
-            rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, unseen), label)})
-        ready.unpersist()
-        unseen.unpersist()
-    train.unpersist()
-    val.unpersist()
+    for j, (min_df, c) in enumerate(settings):
+        scored = held(fitted.scored(j).filter("not _train").select(label, "prob", "pred"))
+        rows.append({"min_df": min_df, "C": c, "features": fitted.features[min_df], **evaluate(scored, label)})
+        scored.unpersist()
     return train.sparkSession.createDataFrame(rows)
 
 
