@@ -9,8 +9,13 @@ from convlens.functions import text as TX
 
 
 def term_counts(df: DataFrame, id_col: str, tokens: Column, max_n: int = 2) -> DataFrame:
-    """(id, term, tf) over 1- to max_n-grams."""
-    listed = df.select(id_col, TX.held(tokens).alias("_t"))
+    """(id, term, tf) over 1- to max_n-grams.
+
+    Rows meet by id as texts, and are listed and counted where they lie: no
+    occurrence is shuffled.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = df.repartition(tasks, id_col).select(id_col, TX.held(tokens).alias("_t"))
     grams = F.concat(*[TX.ngrams(F.col("_t"), n) for n in range(1, max_n + 1)])
     terms = listed.select(id_col, F.explode(grams).alias("term"))
     return terms.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
