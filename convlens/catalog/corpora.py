@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from convlens import constants as K
+from convlens import session
 from convlens.catalog.base import CHATS, DRAWS, MESSAGES, PROMPTS, SQL_WORD, query, r6
 from convlens.catalog.samples import key, sql_split, sql_three_way
 from convlens.catalog.texts import sql_clean, sql_list
@@ -151,9 +152,10 @@ def two_corpora_splits(t):
 
 @query("error_analysis")
 def error_analysis(t):
-    table = corpora.single_turn(single_raw(t, 1), single_raw(t, 0))
+    table = session.stage(corpora.single_turn(single_raw(t, 1), single_raw(t, 0)))
     both = single_raw(t, 1).unionByName(single_raw(t, 0)).select("row_id", "adversarial", "subcategory")
     meta = table.select("row_id", "conversation_id").join(both, "row_id").drop("row_id")
+    meta = session.stage(meta)
     parts = corpora.error_analysis(table, meta)
     return parts["by_subcategory"]
 

@@ -136,8 +136,8 @@ def error_analysis(table: DataFrame, meta: DataFrame, columns: Sequence[str] = (
 
     Returns the scored rows and the tables by split, subgroup and subcategory.
     """
-    model = models.fit_text_model(table.filter("split = 'train'"), "conversation_proc", "harm", strength, min_df=min_df)
-    scored = models.score(model, table.filter("split <> 'train'"))
+    fitted = models.fit_texts(table, F.col("split") == "train", "conversation_proc", "harm", [(min_df, strength)])
+    scored = fitted.scored().filter("split <> 'train'")
     full = joins.attach(scored, meta, "conversation_id", columns)
     full = session.stage(full.withColumns(
         {"correct": B.correct(F.col("pred"), F.col("harm")), "error_type": B.error_type(F.col("harm"), F.col("pred"))}
