@@ -185,19 +185,28 @@ def fit_texts(rows: DataFrame, train: Column, text: str, label: str, settings: S
 
 
 def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),
-                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), max_df: float = 1.0) -> DataFrame:
+                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), **features) -> DataFrame:
     """One row of validation metrics per (min_df, C), areas from probabilities.
 
-    Texts are tokenised once, and all models are fitted side by side.
+    Texts are tokenised once, features fitted and kept once per min_df.
     """
-    both = train.select(label, text, F.lit(True).alias("_train")).unionByName(val.select(label, text, F.lit(False).alias("_train")))
-    settings = [(m, float(c)) for m in min_dfs for c in strengths]
-    fitted = fit_texts(both, F.col("_train"), text, label, settings, max_n, stop, max_df)
+    terms = text_terms(text, max_n, stop)
+    train, val = listed(train, terms, label), listed(val, terms, label)
     rows = []
-    for j, (min_df, c) in enumerate(settings):
-        scored = held(fitted.scored(j).filter("not _train").select(label, "prob", "pred"))
-        rows.append({"min_df": min_df, "C": c, "features": fitted.features[min_df], **evaluate(scored, label)})
-        scored.unpersist()
+    for min_df in min_dfs:
+        pipe = term_features(min_df=min_df, **features).fit(train)
+        ready = held(with_class_weights(pipe.transform(train).select(label, "features"), label))
+        unseen = held(pipe.transform(val).select(label, "features"))
+        n = ready.count()
+        for c in strengths:
+            model = logistic(label, c, n).fit(ready)
+            if model.summary.totalIterations >= model.getMaxIter():
+                raise RuntimeError(f"not converged after {model.getMaxIter()} iterations")
+            rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, unseen), label)})
+        ready.unpersist()
+        unseen.unpersist()
+    train.unpersist()
+    val.unpersist()
     return train.sparkSession.createDataFrame(rows)
 
 
