@@ -21,19 +21,30 @@ from convlens import session
 from convlens.functions import text as TX
 
 BUCKETS = 1 << 16
+#: Bits of an item in the order of rarity that come from its hash; the 24 above them are the count of its bucket.
+HASH_BITS = 39
 
 
 def shingles(tokens: Column, n: int) -> Column:
-    """Distinct hashes of the word n-grams; fewer words are one shingle. Pass a named column."""
-    grams = F.when(F.size(tokens) < n, F.array(F.array_join(tokens, " "))).otherwise(TX.ngrams(tokens, n))
-    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+    """Distinct hashes of the word n-grams; fewer words are one shingle. Pass a named column of word hashes (`word_hashes`).
+
+    A shingle is hashed from the hashes of its words: each word is read once, and no shingle is spelt out.
+    """
+    full = F.size(tokens) - (n - 1)
+    grams = F.transform(F.slice(tokens, F.lit(1), F.greatest(full, F.lit(0))), lambda t, i: F.xxhash64(t, *[F.get(tokens, i + k) for k in range(1, n)]))
+    return F.array_distinct(F.when(full < 1, F.array(F.xxhash64(tokens))).otherwise(grams))
+
+
+def word_hashes(text: Column) -> Column:
+    """The hash of each word of a text, in order."""
+    return F.transform(TX.words(text), lambda w: F.xxhash64(w))
 
 
 def text_sets(df: DataFrame, text: str, shingle: int = 5) -> DataFrame:
     """(key, size, items): the shingle set of each different normalised text; a null text has none."""
     known = df.filter(F.col(text).isNotNull()).select(TX.held(TX.normalized(F.col(text))).alias("_n"))
     one = known.select(F.md5("_n").alias("key"), "_n").dropDuplicates(["key"])
-    listed = one.select("key", TX.held(TX.words(F.col("_n"))).alias("_w"))
+    listed = one.select("key", TX.held(word_hashes(F.col("_n"))).alias("_w"))
     made = listed.select("key", TX.held(shingles(F.col("_w"), shingle)).alias("items"))
     return made.select("key", F.size("items").alias("size"), "items")
 
@@ -56,11 +67,18 @@ def at_least(t: float, n: Column) -> Column:
 
 
 def prefixes(sets: DataFrame, counts: Column, t: float, buckets: int = BUCKETS) -> DataFrame:
-    """(key, size, item, pos) of the rarest items of each set, as many as a partner must share one of."""
-    ranked = F.array_sort(F.transform("items", lambda h: F.struct(
-        F.element_at(counts, (F.pmod(h, F.lit(buckets)) + 1).cast("int")).alias("n"), h.alias("h"))))
-    front = F.slice(ranked, F.lit(1), (F.col("size") - at_least(t, F.col("size")) + 1).cast("int"))
-    return sets.select("key", "size", F.posexplode(front).alias("pos", "_i")).select("key", "size", F.col("_i.h").alias("item"), "pos")
+    """(key, size, item, pos) of the rarest items of each set, as many as a partner must share one of.
+
+    An item is one number: how many shingles its bucket holds, over the last bits
+    of its hash. Plain numbers sort several times as fast as pairs. Shingles that
+    fall together here make candidates, which the exact overlap rules out.
+    """
+    def item(h: Column) -> Column:
+        n = F.element_at(counts, (F.pmod(h, F.lit(buckets)) + 1).cast("int"))
+        return F.coalesce(F.shiftleft(F.least(n, F.lit((1 << 63 - HASH_BITS) - 1)), HASH_BITS).bitwiseOR(h.bitwiseAND((1 << HASH_BITS) - 1)), F.lit(0).cast("bigint"))
+
+    front = F.slice(F.sort_array(F.transform("items", item)), F.lit(1), (F.col("size") - at_least(t, F.col("size")) + 1).cast("int"))
+    return sets.select("key", "size", F.posexplode(front).alias("pos", "item")).select("key", "size", "item", "pos")
 
 
 def similar_sets(left: DataFrame, right: DataFrame, t: float = 0.8, buckets: int = BUCKETS) -> DataFrame:

@@ -61,3 +61,30 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns and sorted(r.id for r in kept.collect()) == [1, 5, 5]
     assert similarity.drop_near(df, "text", other.limit(0)).count() == 6
     assert similarity.drop_near(df.limit(0), "text", other).count() == 0
+
+
+def test_items_are_numbers_rarest_first_and_may_fall_together(spark, monkeypatch):
+    """An item leads with its bucket's count; with one bit of hash left nearly all shingles fall together and the links are the same."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(x,) for x in texts(rng, 80)], "text string")
+    sets = similarity.text_sets(df, "text", 3).cache()
+    hashes = [h for r in sets.collect() for h in r["items"]]
+    held = [sum(h % 64 == b for h in hashes) for b in range(64)]
+    fronts = {}
+    for r in similarity.prefixes(sets, similarity.bucket_counts(sets, buckets=64), 0.5, 64).orderBy("key", "pos").collect():
+        fronts.setdefault(r.key, []).append(r.item >> similarity.HASH_BITS)
+    for r in sets.collect():
+        assert fronts[r.key] == sorted(held[h % 64] for h in r["items"])[: len(fronts[r.key])]
+    want = sorted(map(tuple, similarity.similar_sets(sets, sets, 0.5).collect()))
+    monkeypatch.setattr(similarity, "HASH_BITS", 1)
+    assert sorted(map(tuple, similarity.similar_sets(sets, sets, 0.5).collect())) == want and len(want) > sets.count()
+    sets.unpersist()
+
+
+def test_shingles_are_not_spelt_out(spark):
+    """Shingles come from word hashes; texts of fewer words are one shingle, equal only to themselves."""
+    df = spark.createDataFrame([("a b c d",), ("a b",), ("b a",), ("",)], "text string")
+    made = similarity.text_sets(df, "text", 3)
+    assert "concat_ws" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["size"] for r in made.collect()) == [1, 1, 1, 2]
+    assert len({h for r in made.collect() for h in r["items"]}) == 5
