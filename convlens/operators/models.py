@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+import math
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer
@@ -211,9 +214,11 @@ def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs
 
 
 def evaluate(scored: DataFrame, label: str) -> dict:
-    """Metrics of one scored table."""
+    """Metrics of one scored table. Several passes read the scores, which are computed once."""
+    scored = held(scored.select(label, "prob", "pred"))
     table = metrics.binary_metrics(scored, label, "pred").first().asDict()
     areas = metrics.curve_areas(scored, label, "prob").first().asDict()
+    scored.unpersist()
     keep = ("roc_auc", "average_precision", "recall_at_precision")
     return {**{k: float(v) for k, v in table.items() if k != "n"}, **{k: areas[k] for k in keep}}
 
@@ -239,6 +244,35 @@ def top_weights(weights: DataFrame, k: int = 20) -> DataFrame:
     return up.unionByName(down)
 
 
+#: Rows that make a task of a training pass worth its start, and vector components that one task holds at most.
+PASS_ROWS, PASS_NUMBERS = 2048, 1 << 23
+#: Networks trained at a time. Each keeps its own copy of the training vectors, in memory or on disk.
+FITS = 4
+
+
+def pass_parts(rows: int, dimension: int, cores: int) -> int:
+    """Parts of a training table: as many as there are cores, fewer for few rows, more where a part would grow too large."""
+    return max(1, min(cores, math.ceil(rows / PASS_ROWS)), math.ceil(rows * dimension / PASS_NUMBERS))
+
+
+def for_passes(df: DataFrame, dimension: int) -> DataFrame:
+    """Keep a table of training vectors in even parts sized by its rows. Release it with `unpersist`.
+
+    A network is trained in some hundred passes, and each sends all weights to
+    every part and back. The parts that files, joins and samples leave behind
+    follow the input and the shuffle settings, and most of them hold few rows.
+    """
+    rows = session.stage(df)
+    return held(rows.repartition(pass_parts(rows.count(), dimension, df.sparkSession.sparkContext.defaultParallelism)))
+
+
+def side_by_side(train: DataFrame, fit: Callable, settings: Iterable) -> list:
+    """What `fit` gives for each setting, in their order; some fits run at a time and fill each other's waits between passes."""
+    one = inheritable_thread_target(train.sparkSession)(fit)
+    with ThreadPool(FITS) as pool:
+        return pool.map(one, list(settings), chunksize=1)
+
+
 def with_vectors(df: DataFrame, embedding: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(embedding).cast("array<double>")))
 
@@ -278,13 +312,15 @@ def forward(df: DataFrame, vector: str, layers: Sequence[tuple[Sequence[Sequence
 
 def sweep(train: DataFrame, val: DataFrame, label: str, dimension: int, configs: dict[int, dict]) -> DataFrame:
     """One row per configuration: train and validation PR score, their gap, number of weights."""
-    rows = []
-    train, val = held(train), held(val)
-    for run, config in configs.items():
-        model = feed_forward(label, dimension, **config).fit(train)
+    train, val = for_passes(train, dimension), held(val)
+
+    def one(run: int) -> tuple:
+        model = feed_forward(label, dimension, **configs[run]).fit(train)
         on_train = evaluate(score(model, train), label)["average_precision"]
         on_val = evaluate(score(model, val), label)["average_precision"]
-        rows.append((run, str(config), int(model.weights.size), float(on_train), float(on_val), abs(float(on_val) - float(on_train))))
+        return run, str(configs[run]), int(model.weights.size), float(on_train), float(on_val), abs(float(on_val) - float(on_train))
+
+    rows = side_by_side(train, one, configs)
     train.unpersist()
     val.unpersist()
     return train.sparkSession.createDataFrame(rows, "run int, config string, weights int, train_pr double, val_pr double, gap double")
@@ -304,10 +340,13 @@ def seeds_and_arms(arms: dict[str, DataFrame], test: DataFrame, label: str, dime
     rows = []
     test = held(test)
     for arm, train in arms.items():
-        train = held(train)
-        for seed in seeds:
+        train = for_passes(train, dimension)
+
+        def one(seed: int, arm: str = arm, train: DataFrame = train) -> dict:
             model = feed_forward(label, dimension, seed=seed, **config).fit(train)
-            rows.append({"arm": arm, "seed": seed, **evaluate(score(model, test), label)})
+            return {"arm": arm, "seed": seed, **evaluate(score(model, test), label)}
+
+        rows += side_by_side(train, one, seeds)
         train.unpersist()
     test.unpersist()
     return test.sparkSession.createDataFrame(rows)

@@ -58,6 +58,29 @@ def test_feed_forward_sweep(spark):
     assert out.val_pr > 0.9 and out.gap == abs(out.val_pr - out.train_pr)
 
 
+def test_training_parts_follow_the_rows(spark, monkeypatch):
+    """Few rows in many parts are trained in one part, in the sweep and in every arm; the order of the settings is kept."""
+    assert [models.pass_parts(n, 64, 12) for n in (0, 100, 5000, 500_000, 10_000_000)] == [1, 1, 3, 12, 77]
+    data = [(i, i % 2, [float(i % 2) + 0.01 * (i % 7), 1.0 - i % 2, 0.5]) for i in range(60)]
+    df = models.with_vectors(spark.createDataFrame(data, "id long, harm int, e array<float>"), "e").drop("e").repartition(23)
+    parts, network = [], models.feed_forward
+
+    class Counted:
+        def __init__(self, *a, **b):
+            self.network = network(*a, **b)
+
+        def fit(self, train):
+            parts.append((train.count(), train.rdd.getNumPartitions()))
+            return self.network.fit(train)
+
+    monkeypatch.setattr(models, "feed_forward", Counted)
+    runs = models.sweep(df, df, "harm", 3, {k: {"hidden": (h,), "max_iter": 2} for k, h in enumerate((4, 3, 2, 5, 6))})
+    assert [(r.run, r.weights) for r in runs.orderBy("run").collect()] == [(k, 4 * h + 2 * (h + 1)) for k, h in enumerate((4, 3, 2, 5, 6))]
+    arms = models.seeds_and_arms({"A": df.limit(10), "B": df}, df, "harm", 3, (7, 42), hidden=(3,), max_iter=2)
+    assert [(r.arm, r.seed) for r in arms.collect()] == [("A", 7), ("A", 42), ("B", 7), ("B", 42)]
+    assert sorted(parts) == [(10, 1)] * 2 + [(60, 1)] * 7
+
+
 def test_word_vectors(rows):
     fitted = embeddings.fit_word_vectors(rows, "text", size=4, min_count=1)
     out = embeddings.embed_by_words(rows, "id", "text", fitted).collect()
