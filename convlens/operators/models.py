@@ -255,15 +255,16 @@ def pass_parts(rows: int, dimension: int, cores: int) -> int:
     return max(1, min(cores, math.ceil(rows / PASS_ROWS)), math.ceil(rows * dimension / PASS_NUMBERS))
 
 
-def for_passes(df: DataFrame, dimension: int) -> DataFrame:
-    """Keep a table of training vectors in even parts sized by its rows. Release it with `unpersist`.
+def for_passes(rows: DataFrame, dimension: int) -> DataFrame:
+    """A held table of training vectors in parts for training: where it has more parts than there are cores, they are put together.
 
     A network is trained in some hundred passes, and each sends all weights to
     every part and back. The parts that files, joins and samples leave behind
     follow the input and the shuffle settings, and most of them hold few rows.
+    Fewer parts stay as they are: their order decides how sums are rounded.
     """
-    rows = session.stage(df)
-    return held(rows.repartition(pass_parts(rows.count(), dimension, df.sparkSession.sparkContext.defaultParallelism)))
+    n, found, cores = rows.count(), rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(pass_parts(n, dimension, cores)) if found > cores else rows
 
 
 def side_by_side(train: DataFrame, fit: Callable, settings: Iterable) -> list:
@@ -312,10 +313,11 @@ def forward(df: DataFrame, vector: str, layers: Sequence[tuple[Sequence[Sequence
 
 def sweep(train: DataFrame, val: DataFrame, label: str, dimension: int, configs: dict[int, dict]) -> DataFrame:
     """One row per configuration: train and validation PR score, their gap, number of weights."""
-    train, val = for_passes(train, dimension), held(val)
+    train, val = held(train), held(val)
+    parts = for_passes(train, dimension)
 
     def one(run: int) -> tuple:
-        model = feed_forward(label, dimension, **configs[run]).fit(train)
+        model = feed_forward(label, dimension, **configs[run]).fit(parts)
         on_train = evaluate(score(model, train), label)["average_precision"]
         on_val = evaluate(score(model, val), label)["average_precision"]
         return run, str(configs[run]), int(model.weights.size), float(on_train), float(on_val), abs(float(on_val) - float(on_train))
@@ -340,10 +342,11 @@ def seeds_and_arms(arms: dict[str, DataFrame], test: DataFrame, label: str, dime
     rows = []
     test = held(test)
     for arm, train in arms.items():
-        train = for_passes(train, dimension)
+        train = held(train)
+        parts = for_passes(train, dimension)
 
-        def one(seed: int, arm: str = arm, train: DataFrame = train) -> dict:
-            model = feed_forward(label, dimension, seed=seed, **config).fit(train)
+        def one(seed: int, arm: str = arm, parts: DataFrame = parts) -> dict:
+            model = feed_forward(label, dimension, seed=seed, **config).fit(parts)
             return {"arm": arm, "seed": seed, **evaluate(score(model, test), label)}
 
         rows += side_by_side(train, one, seeds)
