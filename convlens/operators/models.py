@@ -256,7 +256,7 @@ def pass_parts(rows: int, dimension: int, cores: int) -> int:
 
 
 def for_passes(rows: DataFrame, dimension: int) -> DataFrame:
-    """A held table of training vectors in parts for training: where it has more parts than there are cores, they are put together.
+    """A held table of training vectors in parts for training: where it has more than three a core, they are put together.
 
     A network is trained in some hundred passes, and each sends all weights to
     every part and back. The parts that files, joins and samples leave behind
@@ -264,7 +264,7 @@ def for_passes(rows: DataFrame, dimension: int) -> DataFrame:
     Fewer parts stay as they are: their order decides how sums are rounded.
     """
     n, found, cores = rows.count(), rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
-    return rows.coalesce(pass_parts(n, dimension, cores)) if found > cores else rows
+    return rows.coalesce(pass_parts(n, dimension, cores)) if found > 3 * cores else rows
 
 
 def side_by_side(train: DataFrame, fit: Callable, settings: Iterable) -> list:
