@@ -140,29 +140,21 @@ def score(model, df: DataFrame, threshold: float = K.THRESHOLD) -> DataFrame:
 
 @dataclass
 class TextFit:
-    """Text models that share their rows: the rows with numbers, (row, term, tf), the fit, and its vocabulary sizes by `min_df`."""
+    """Text models that share their rows: the rows with numbers, the fit, and its vocabulary sizes by `min_df`."""
 
     rows: DataFrame
-    terms: DataFrame
     fit: row_fit.Fit
     features: dict[int, int]
-    max_df: float = 1.0
 
     def scored(self, which: int = 0, threshold: float = K.THRESHOLD) -> DataFrame:
         """The rows with `prob` and `pred` of one of the models."""
-        found = self.fit.rows().filter(F.col("model") == which).select("row", "prob")
+        found = self.fit.rows(which).select("row", "prob")
         out = self.rows.join(found, "row").withColumn("pred", (F.col("prob") >= threshold).cast("int"))
         return out.drop("row", "_fit")
 
     def weights(self, which: int = 0) -> DataFrame:
         """(term, weight) of one of the models: a sum over the fitted rows of each term."""
-        model, n = self.fit.models[which], self.rows.filter("_fit").count()
-        coef = self.fit.rows().filter(F.col("model") == which).select("row", "coef")
-        met = self.terms.filter("fit").join(coef, "row")
-        sums = met.groupBy("term").agg(F.count("*").alias("df"), F.sum((1 + F.ln("tf")) * F.col("coef")).alias("_s"))
-        idf = F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1
-        kept = (F.col("df") >= model.min_df) & (F.col("df") <= self.max_df * n)
-        return sums.filter(kept).select("term", (F.col("_s") * idf).alias("weight"))
+        return self.fit.weights(which)
 
 
 def fit_texts(rows: DataFrame, train: Column, text: str, label: str, settings: Sequence[tuple[int, float]], max_n: int = 2,
@@ -173,18 +165,18 @@ def fit_texts(rows: DataFrame, train: Column, text: str, label: str, settings: S
     stays in the tables, however large it is.
     """
     rows = row_fit.numbered(rows).withColumn("_fit", F.coalesce(train, F.lit(False)))
-    found = rows.agg(F.count("*").alias("n"), F.count_if("_fit").alias("fit")).first()
-    flags = rows.select("row", "_fit", text)
-    counts = tfidf.term_counts(flags.withColumn("row", F.struct("row", F.col("_fit").alias("fit"))), "row", TX.term_tokens(F.col(text), stop), max_n)
-    terms = session.stage(counts.select("row.row", "row.fit", "term", "tf"))
+    known = F.col("_fit") & F.col(label).isNotNull()  # a row without a label counts for the features, not for the fit
+    found = rows.agg(F.count("*").alias("n"), F.count_if("_fit").alias("fit"), F.count_if(known).alias("known")).first()
+    tokens = rows.select("row", F.col("_fit").alias("fit"), TX.term_tokens(F.col(text), stop).alias("tokens"))
+    terms = row_fit.text_lists(tokens, "tokens", max_n)
     least = sorted({m for m, _ in settings})
     blocks = session.stage(row_fit.term_blocks(terms, found["fit"], found["n"], least[0], max_df))
-    share = tfidf.class_weights(rows.filter("_fit"), label).select(F.col(label).alias("_l"), (F.col("weight") / found["fit"]).alias("share"))
+    share = tfidf.class_weights(rows.filter(known), label).select(F.col(label).alias("_l"), (F.col("weight") / found["known"]).alias("share"))
     labels = rows.join(F.broadcast(share), F.col(label) == F.col("_l"), "left").select(
-        "row", F.col(label).alias("y"), F.when(F.col("_fit"), F.col("share")).otherwise(0.0).alias("share")
+        "row", F.col(label).alias("y"), F.when(known, F.col("share")).otherwise(0.0).alias("share")
     )
-    fit = row_fit.Fit(blocks, labels, found["n"], [row_fit.Model(m, 1.0 / (c * found["fit"])) for m, c in settings])
-    return TextFit(rows, terms, fit, row_fit.n_terms(blocks, least), max_df)
+    fit = row_fit.Fit(blocks, labels, found["n"], [row_fit.Model(m, 1.0 / (c * max(found["known"], 1))) for m, c in settings])
+    return TextFit(rows, fit, row_fit.n_terms(blocks, least))
 
 
 def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),

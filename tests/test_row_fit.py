@@ -74,3 +74,53 @@ def test_blocks_hold_whole_terms(spark, monkeypatch):
 def test_one_class(rows):
     out = models.fit_texts(rows.filter("harm = 1"), F.col("train"), "text", "harm", [(2, 1.0)]).scored().collect()
     assert out and all(r.prob == 1.0 for r in out)
+
+
+def unpacked(blocks):
+    """{(term, row): tf} and {term: df} of blocks."""
+    found, dfs = {}, {}
+    for b in blocks.collect():
+        starts, sizes, df, _, rows, tf = row_fit._arrays(b.asDict())
+        dfs |= dict(zip(b.terms, df.tolist(), strict=True))
+        names = np.repeat(np.array(b.terms, object), sizes)
+        assert not found.keys() & set(zip(names, rows.tolist()))
+        found |= dict(zip(zip(names, rows.tolist()), tf.tolist(), strict=True))
+    return found, dfs
+
+
+def test_terms_listed_by_batch_equal_counted_rows(spark, monkeypatch):
+    """A term is whole though many batches of texts and of sorted records hold it; df counts fitted rows only."""
+    monkeypatch.setattr(row_fit, "TOKENS", 7)
+    monkeypatch.setattr(row_fit, "BLOCK", 5)
+    texts = ["aa bb aa", "", None, "aa", "bb aa bb aa cc", "cc dd ee ff gg hh ii jj kk", "aa bb"] * 3 + ["aa"] * 300
+    df = spark.createDataFrame([(i, i % 2 == 0, t) for i, t in enumerate(texts)], "row long, fit boolean, text string").repartition(3)
+    tokens = TX.term_tokens(F.col("text"))
+    blocks = row_fit.term_blocks(row_fit.text_lists(df.withColumn("t", tokens), "t"), 161, 321, 2)
+    found, dfs = unpacked(blocks)
+    counted = tfidf.term_counts(df, "row", tokens).join(df.select("row", "fit"), "row").collect()
+    known = {}
+    for r in counted:
+        known.setdefault(r.term, []).append(r)
+    known = {t: rows for t, rows in known.items() if sum(r.fit for r in rows) >= 2}
+    assert dfs == {t: sum(r.fit for r in rows) for t, rows in known.items()}
+    assert found == {(r.term, r.row): r.tf for rows in known.values() for r in rows}
+
+
+def test_a_task_holds_one_piece_of_features(rows, fitted, monkeypatch):
+    """Features come in parts of a bounded size, and models in groups of a bounded size, with the same results."""
+    for name, value in (("PART", 900), ("BLOCK", 50), ("VECTOR", 8), ("CHUNK", 16)):
+        monkeypatch.setattr(row_fit, name, value)
+    parts, held = [], row_fit.Fit._held
+
+    def counted(self, blocks):
+        kept = held(self, blocks)
+        parts.append(kept.getNumPartitions())
+        return kept
+
+    monkeypatch.setattr(row_fit.Fit, "_held", counted)
+    again = models.fit_texts(rows, F.col("train"), "text", "harm", SETTINGS)
+    assert parts[0] > 2 * rows.sparkSession.sparkContext.defaultParallelism
+    for which in (0, 1):
+        want = {r.row: r.prob for r in fitted.fit.rows(which).collect()}
+        mine = {r.row: r.prob for r in again.fit.rows(which).collect()}
+        assert mine.keys() == want.keys() and max(abs(mine[i] - want[i]) for i in mine) < 1e-6
