@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 from collections.abc import Callable, Iterable, Sequence
@@ -179,30 +180,29 @@ def fit_texts(rows: DataFrame, train: Column, text: str, label: str, settings: S
     return TextFit(rows, fit, row_fit.n_terms(blocks, least))
 
 
-def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),
-                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), **features) -> DataFrame:
-    """One row of validation metrics per (min_df, C), areas from probabilities.
+def text_grid(rows: DataFrame, train: Column, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5), strengths: Iterable[float] = (1, 8, 32),
+              max_n: int = 2, stop: Sequence[str] = (), max_df: float = 1.0) -> DataFrame:
+    """One row of metrics of the rows outside `train` per (min_df, C), areas from probabilities.
 
-    Texts are tokenised once, features fitted and kept once per min_df.
+    Texts are tokenised once, and the models share their features and passes;
+    no vocabulary reaches the driver.
     """
-    terms = text_terms(text, max_n, stop)
-    train, val = listed(train, terms, label), listed(val, terms, label)
-    rows = []
-    for min_df in min_dfs:
-        pipe = term_features(min_df=min_df, **features).fit(train)
-        ready = held(with_class_weights(pipe.transform(train).select(label, "features"), label))
-        unseen = held(pipe.transform(val).select(label, "features"))
-        n = ready.count()
-        for c in strengths:
-            model = logistic(label, c, n).fit(ready)
-            if model.summary.totalIterations >= model.getMaxIter():
-                raise RuntimeError(f"not converged after {model.getMaxIter()} iterations")
-            rows.append({"min_df": min_df, "C": float(c), "features": model.numFeatures, **evaluate(score(model, unseen), label)})
-        ready.unpersist()
-        unseen.unpersist()
-    train.unpersist()
-    val.unpersist()
-    return train.sparkSession.createDataFrame(rows)
+    settings = list(itertools.product(min_dfs, strengths))
+    fitted = fit_texts(rows, train, text, label, settings, max_n, stop, max_df)
+
+    def one(which: int) -> dict:
+        min_df, c = settings[which]
+        unseen = fitted.scored(which).filter(~F.coalesce(train, F.lit(False)))
+        return {"min_df": min_df, "C": float(c), "features": fitted.features[min_df], **evaluate(unseen, label)}
+
+    return rows.sparkSession.createDataFrame(side_by_side(rows, one, range(len(settings))))
+
+
+def grid_search(train: DataFrame, val: DataFrame, text: str, label: str, min_dfs: Iterable[int] = (1, 2, 5),
+                strengths: Iterable[float] = (1, 8, 32), max_n: int = 2, stop: Sequence[str] = (), max_df: float = 1.0) -> DataFrame:
+    """`text_grid` of two tables: the first is trained on, the second gives the metrics."""
+    both = [df.select(text, label, F.lit(k).alias("_train")) for df, k in ((train, True), (val, False))]
+    return text_grid(both[0].unionByName(both[1]), F.col("_train"), text, label, min_dfs, strengths, max_n, stop, max_df)
 
 
 def evaluate(scored: DataFrame, label: str) -> dict:

@@ -124,3 +124,16 @@ def test_a_task_holds_one_piece_of_features(rows, fitted, monkeypatch):
         want = {r.row: r.prob for r in fitted.fit.rows(which).collect()}
         mine = {r.row: r.prob for r in again.fit.rows(which).collect()}
         assert mine.keys() == want.keys() and max(abs(mine[i] - want[i]) for i in mine) < 1e-6
+
+
+def test_grid_without_a_vocabulary_on_the_driver(rows, spark, monkeypatch):
+    """The grid gives the metrics of MLlib's fit, takes texts and labels that are null, and counts no vocabulary on the driver."""
+    train, val = (rows.filter(c).select("text", "harm") for c in ("train", "not train"))
+    want = models.evaluate(models.score(models.fit_text_model(train, "text", "harm", 8.0, min_df=2), val), "harm")
+    terms = models.term_features(min_df=2).fit(models.listed(train, models.text_terms("text"), "harm")).stages[0].vocabulary
+    monkeypatch.setattr(models, "CountVectorizer", None)
+    found = {(r.min_df, r.C): r.asDict() for r in models.grid_search(train, val, "text", "harm", (1, 2), (8,)).collect()}
+    assert set(found) == {(1, 8.0), (2, 8.0)} and found[2, 8.0]["features"] == len(terms)
+    assert {k: pytest.approx(v, abs=1e-3) for k, v in want.items()} == {k: found[2, 8.0][k] for k in want}
+    odd = train.unionByName(spark.createDataFrame([(None, 1), ("w1 w2 w3", None)], "text string, harm int"))
+    assert models.grid_search(odd, val, "text", "harm", (2,), (8,)).count() == 1
